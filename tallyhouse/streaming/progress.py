@@ -1,0 +1,35 @@
+"""How far a stream has read."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+PROGRESS = ("query_name string, batch_id bigint, source string, start_offset string, "
+            "end_offset string, num_input_rows bigint")
+
+
+def _as_text(offset) -> str | None:
+    return offset if offset is None or isinstance(offset, str) else json.dumps(offset)
+
+
+def offset_progress(*queries: StreamingQuery) -> DataFrame:
+    """One row per source and recent batch. Spark keeps a bounded number of them."""
+    rows = [(p["name"], p["batchId"], s["description"], _as_text(s["startOffset"]),
+             _as_text(s["endOffset"]), s["numInputRows"])
+            for q in queries for p in (json.loads(r.json) for r in q.recentProgress)
+            for s in p["sources"]]
+    return SparkSession.getActiveSession().createDataFrame(rows, PROGRESS)
+
+
+def until_offsets(progress: DataFrame, group: str) -> DataFrame:
+    """Next offset to read per (group, topic, partition), from Kafka progress rows."""
+    ends = progress.select("batch_id", F.explode(
+        F.from_json("end_offset", "map<string,map<int,bigint>>")).alias("topic", "_ends"))
+    each = ends.select("batch_id", "topic", F.explode("_ends").alias("partition", "until_offset"))
+    return (each.groupBy("topic", "partition")
+            .agg(F.max_by("until_offset", "batch_id").alias("until_offset"))
+            .select(F.lit(group).alias("group_id"), "topic", "partition", "until_offset"))
