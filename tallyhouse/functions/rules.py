@@ -5,8 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Code lists the rules test against.
 SELL = "2"
@@ -25,51 +26,56 @@ QUOTE_PREFIXES = {"G": "HK:", "S": "HK:", "2": "SZ:", "9": "SZ:", "1": "SH:"}
 AMOUNT_TYPE = "decimal(18,4)"
 
 
-def _parsed(name: str) -> Column:
-    text = F.col(name)
-    exact = text.try_cast(AMOUNT_TYPE)
+def _parsed(df: DataFrame, name: str) -> Column:
+    column = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return column.try_cast(AMOUNT_TYPE)
+    # Empty text is common and a failed cast is slow, so it never gets that far.
+    text = F.when(column != "", column)
     # Spellings such as "1d" only read as a double.
-    return F.coalesce(exact, text.try_cast("double").try_cast(AMOUNT_TYPE))
+    return F.coalesce(text.try_cast(AMOUNT_TYPE), text.try_cast("double").try_cast(AMOUNT_TYPE))
 
 
-def amount(name: str) -> Column:
-    """Column ``name`` as an exact amount; empty, missing or unreadable is 0."""
-    return F.coalesce(_parsed(name), F.lit(0).cast(AMOUNT_TYPE))
+def amount(df: DataFrame, name: str) -> Column:
+    """Column ``name`` of ``df`` as an exact amount; empty, missing or unreadable is 0."""
+    return F.coalesce(_parsed(df, name), F.lit(0).cast(AMOUNT_TYPE))
 
 
-def is_bad_amount(name: str) -> Column:
-    """True where ``name`` holds text that :func:`amount` has to count as 0."""
-    text = F.trim(F.col(name).cast("string"))
-    return F.coalesce((text != "") & _parsed(name).isNull(), F.lit(False))
+def is_bad_amount(df: DataFrame, name: str) -> Column:
+    """True where ``name`` holds something that :func:`amount` has to count as 0."""
+    filled = F.col(name).isNotNull()
+    if isinstance(df.schema[name].dataType, T.StringType):
+        filled = F.trim(name) != ""
+    return F.coalesce(filled & _parsed(df, name).isNull(), F.lit(False))
 
 
-def position_quantity() -> Column:
+def position_quantity(df: DataFrame) -> Column:
     """Shares held: current + correction + bought - sold."""
-    return (amount("current_amount") + amount("correct_amount")
-            + amount("real_buy_amount") - amount("real_sell_amount"))
+    return (amount(df, "current_amount") + amount(df, "correct_amount")
+            + amount(df, "real_buy_amount") - amount(df, "real_sell_amount"))
 
 
-def cash_balance() -> Column:
+def cash_balance(df: DataFrame) -> Column:
     """Cash held: buying spends it and selling brings it in."""
-    return (amount("current_balance") + amount("correct_balance")
-            - amount("real_buy_balance") + amount("real_sell_balance"))
+    return (amount(df, "current_balance") + amount(df, "correct_balance")
+            - amount(df, "real_buy_balance") + amount(df, "real_sell_balance"))
 
 
-def contract_debt() -> Column:
+def contract_debt(df: DataFrame) -> Column:
     """Open principal plus fee of one credit contract."""
-    return amount("real_compact_balance") + amount("real_compact_fare")
+    return amount(df, "real_compact_balance") + amount(df, "real_compact_fare")
 
 
-def signed_trade_value() -> Column:
+def signed_trade_value(df: DataFrame) -> Column:
     """Trade value, negative for a sale."""
-    value = amount("business_balance")
+    value = amount(df, "business_balance")
     return F.when(F.col("entrust_bs") == SELL, -value).otherwise(value)
 
 
-def effective_price() -> Column:
+def effective_price(df: DataFrame) -> Column:
     """The quote where there is one above zero, else the closing price."""
-    quote = _parsed("market_price")
-    return F.when(quote > 0, quote).otherwise(_parsed("asset_price"))
+    quote = _parsed(df, "market_price")
+    return F.when(quote > 0, quote).otherwise(_parsed(df, "asset_price"))
 
 
 def equals_or_missing(name: str, value: str) -> Column:

@@ -35,7 +35,8 @@ def doc_route(events: DataFrame) -> DataFrame:
         index = index.when(table == source, name)
     is_contract = F.col("index") == CONTRACT_INDEX
     zero = F.lit(0).cast(rules.AMOUNT_TYPE)
-    return (events.filter(F.upper("oper_type").isin(*rules.JOURNAL_OPERATIONS))
+    wanted = F.col("corrupt").isNull() & F.upper("oper_type").isin(*rules.JOURNAL_OPERATIONS)
+    return (events.filter(wanted)
             .withColumn("index", index).filter("index is not null")
             .select("index",
                     F.when(is_contract, F.col("compact_id")).otherwise(F.col("position_str"))

@@ -18,8 +18,13 @@ def parse_events(messages: DataFrame) -> DataFrame:
     :func:`rejected_events` lists it.
     """
     keep_bad = {"columnNameOfCorruptRecord": "_corrupt_record"}
-    opened = messages.withColumn("_e", F.from_json("value", schemas.ENVELOPE, keep_bad)).withColumn(
-        "_c", F.from_json("_e.columnInfo", schemas.COLUMN_INFO, keep_bad))
+    envelope = F.from_json("value", schemas.ENVELOPE, keep_bad)
+    info = F.from_json("_e.columnInfo", schemas.COLUMN_INFO, keep_bad)
+    # Exploding an array of one keeps a later filter from being merged with the
+    # parsing, which would then run once for every field that the filter tests. A
+    # filter on the envelope alone still moves in front of the second parse.
+    opened = (messages.select("*", F.explode(F.array(envelope)).alias("_e"))
+              .select("*", F.explode(F.array(info)).alias("_c")))
     is_bad = F.col("_e._corrupt_record").isNotNull() | F.col("_c._corrupt_record").isNotNull()
     names = [n for n in schemas.COLUMN_INFO.fieldNames() if n != "_corrupt_record"]
     typed = opened.select(
@@ -31,8 +36,8 @@ def parse_events(messages: DataFrame) -> DataFrame:
         *[F.col(f"_c.{n}").alias(n.lower()) for n in names],
         F.when(is_bad, F.col("value")).alias("corrupt"),
     )
-    return (typed.withColumn("business_balance", rules.amount("business_balance"))
-            .withColumn("occur_balance", rules.amount("occur_balance")))
+    return typed.withColumns({c: rules.amount(typed, c)
+                              for c in ("business_balance", "occur_balance")})
 
 
 def rejected_events(events: DataFrame) -> DataFrame:

@@ -13,12 +13,12 @@ from tallyhouse.sinks.keyed import write_keyed
 
 def snapshot_rows(snapshot: DataFrame, value: str = "value") -> DataFrame:
     """Snapshot rows with a number other than 0 in ``value`` (empty is 0)."""
-    return snapshot.withColumn(value, rules.amount(value)).filter(F.col(value) != 0)
+    return snapshot.withColumn(value, rules.amount(snapshot, value)).filter(F.col(value) != 0)
 
 
 def snapshot_totals(snapshot: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Snapshot summed to coarser ``keys``, without zeros."""
-    total = (snapshot.withColumn(value, rules.amount(value))
+    total = (snapshot.withColumn(value, rules.amount(snapshot, value))
              .groupBy(*keys).agg(F.sum(value).alias(value)))
     return total.filter(F.col(value) != 0)
 

@@ -25,9 +25,10 @@ def _total(df: DataFrame, keys: Sequence[str], value: Column | str, name: str) -
 
 
 def _last_row(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    order = ["rowkey", value] if "rowkey" in df.columns else [value]
-    kept = keep_last(df, keys, *order)
-    return kept.select(*keys, value)
+    if "rowkey" not in df.columns:
+        # The key is unique then; the aggregate makes sure of one row per key.
+        return df.groupBy(*keys).agg(F.max(value).alias(value))
+    return keep_last(df, keys, "rowkey", value).select(*keys, value)
 
 
 def price_effective(prices: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def price_effective(prices: DataFrame) -> DataFrame:
     A row that lacks a cell does not take the previous row's value (the
     reference leaks it); a missing price is null here and 0 once looked up.
     """
-    priced = prices.withColumn("price", rules.effective_price())
+    priced = prices.withColumn("price", rules.effective_price(prices))
     columns = [c for c in ("rowkey",) if c in prices.columns]
     return _last_row(priced.select(*columns, *PRICE_KEYS, "price"), PRICE_KEYS, "price")
 
@@ -44,7 +45,7 @@ def price_effective(prices: DataFrame) -> DataFrame:
 def nav_latest(navs: DataFrame) -> DataFrame:
     """One value per (product, registrar): that of the last row key, as text order."""
     columns = [c for c in ("rowkey",) if c in navs.columns]
-    typed = navs.select(*columns, *NAV_KEYS, rules.amount("nav").alias("nav"))
+    typed = navs.select(*columns, *NAV_KEYS, rules.amount(navs, "nav").alias("nav"))
     return _last_row(typed, NAV_KEYS, "nav")
 
 
@@ -58,7 +59,7 @@ def instrument_list(prices: DataFrame) -> DataFrame:
 def position_quantity(positions: DataFrame) -> DataFrame:
     """Positions with ``quantity`` in place of its four parts."""
     parts = ("current_amount", "correct_amount", "real_buy_amount", "real_sell_amount")
-    return positions.withColumn("quantity", rules.position_quantity()).drop(*parts)
+    return positions.withColumn("quantity", rules.position_quantity(positions)).drop(*parts)
 
 
 def position_market_value(positions: DataFrame, prices: DataFrame, **lookup) -> DataFrame:
@@ -101,14 +102,14 @@ def cash_balance(cash: DataFrame) -> DataFrame:
     The key is unique by configuration; copies are summed, where the reference
     keeps an arbitrary one.
     """
-    total = _total(cash, ["fund_account", "money_type"], rules.cash_balance(), "balance")
+    total = _total(cash, ["fund_account", "money_type"], rules.cash_balance(cash), "balance")
     return total.filter(F.abs("balance") > 0)
 
 
 def credit_liability(contracts: DataFrame) -> DataFrame:
     """Debt per (account, currency) of open contracts; a missing type counts as open."""
     still_open = contracts.filter(rules.equals_or_missing("compact_type", rules.OPEN_CONTRACT))
-    return _total(still_open, ["fund_account", "money_type"], rules.contract_debt(), "liability")
+    return _total(still_open, ["fund_account", "money_type"], rules.contract_debt(still_open), "liability")
 
 
 def _on_date(df: DataFrame, biz_date: str | None) -> DataFrame:
@@ -118,14 +119,22 @@ def _on_date(df: DataFrame, biz_date: str | None) -> DataFrame:
 def fund_net_in(journal: DataFrame, biz_date: str | None = None) -> DataFrame:
     """Net inflow per (account, currency), of one business date if given."""
     return _total(_on_date(journal, biz_date), ["fund_account", "money_type"],
-                  rules.amount("occur_balance"), "net_in")
+                  rules.amount(journal, "occur_balance"), "net_in")
 
 
 def trade_rows(trades: DataFrame, types: Sequence[str], biz_date: str | None = None) -> DataFrame:
     """Valid trades of the given types with their signed value."""
     valid = F.col("real_status").isin(*rules.TRADE_STATUSES) & F.col("real_type").isin(*types)
     return (_on_date(trades, biz_date).filter(valid)
-            .select("fund_account", "stock_code", rules.signed_trade_value().alias("net_trade")))
+            .select("fund_account", "stock_code", "real_type",
+                    rules.signed_trade_value(trades).alias("net_trade")))
+
+
+def trade_rows_by_book(trades: DataFrame, biz_date: str | None = None) -> DataFrame:
+    """Valid trades of both kinds in one pass, with their ``book``."""
+    rows = trade_rows(trades, (*rules.TRADE_TYPES, *rules.CREDIT_TRADE_TYPES), biz_date)
+    book = F.when(F.col("real_type").isin(*rules.TRADE_TYPES), "ordinary").otherwise("credit")
+    return rows.withColumn("book", book)
 
 
 def trade_net(trades: DataFrame, biz_date: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.sources.tables import scan_table
+from tallyhouse.sources.tables import scan_table, spread_small
 
 SHAPES = {
     "fx_positions": """
@@ -163,7 +163,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived record shape over the tables in ``sf_dir``."""
     text = SHAPES[name]
-    sources = {t: table(spark, sf_dir, t) for t in set(re.findall(r"{(\w+)}", text))}
+    names = set(re.findall(r"{(\w+)}", text))
+    sources = {t: table(spark, sf_dir, t) for t in names}
+    for fact in names & {"lineitem", "events"}:
+        sources[fact] = spread_small(sources[fact])
     return spark.sql(text, **sources)
 
 

@@ -308,12 +308,9 @@ result as (select *, cast(real_asset - trade_value - last_day_asset as decimal(3
 
 
 def _income(spark, sf_dir):
-    trades = shape(spark, sf_dir, "fx_trades")
-    ordinary = valuation.trade_rows(trades, rules.TRADE_TYPES).withColumn("book", F.lit("ordinary"))
-    credit = (valuation.trade_rows(trades, rules.CREDIT_TRADE_TYPES)
-              .withColumn("book", F.lit("credit")))
+    trades = valuation.trade_rows_by_book(shape(spark, sf_dir, "fx_trades"))
     last_day = snapshots.snapshot_rows(shape(spark, sf_dir, "fx_lastday"))
-    return income.stock_income_today(_valued(spark, sf_dir), ordinary.unionByName(credit), last_day)
+    return income.stock_income_today(_valued(spark, sf_dir), trades, last_day)
 
 
 @query(_INCOME + """select book, fund_account, stock_code, money_type, cast(real_asset as double) as real_asset,
