@@ -28,8 +28,9 @@ def offset_progress(*queries: StreamingQuery) -> DataFrame:
 def until_offsets(progress: DataFrame, group: str) -> DataFrame:
     """Next offset to read per (group, topic, partition), from Kafka progress rows."""
     ends = progress.select("batch_id", F.explode(
-        F.from_json("end_offset", "map<string,map<int,bigint>>")).alias("topic", "_ends"))
+        F.from_json("end_offset", "map<string,map<string,bigint>>")).alias("topic", "_ends"))
     each = ends.select("batch_id", "topic", F.explode("_ends").alias("partition", "until_offset"))
     return (each.groupBy("topic", "partition")
             .agg(F.max_by("until_offset", "batch_id").alias("until_offset"))
-            .select(F.lit(group).alias("group_id"), "topic", "partition", "until_offset"))
+            .select(F.lit(group).alias("group_id"), "topic",
+                    F.col("partition").cast("int").alias("partition"), "until_offset"))
