@@ -63,6 +63,14 @@ def first_seen_orders(orders: DataFrame) -> DataFrame:
     return keep_first(orders, ["position_str"], "offset")
 
 
+def unseen_orders(orders: DataFrame, seen: DataFrame) -> DataFrame:
+    """First orders whose key is not in the ``seen`` table yet, for a batch run.
+
+    Reduced to one row per key before the join, so no key is heavy in it.
+    """
+    return first_seen_orders(orders).join(seen.select("position_str"), "position_str", "left_anti")
+
+
 def per_second(orders: DataFrame) -> DataFrame:
     """Number and value of the orders of each second."""
     return (orders.groupBy("entrust_time")

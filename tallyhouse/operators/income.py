@@ -38,12 +38,13 @@ def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame
     totals = stacked.groupBy(*_STOCK, "money_type").agg(
         *[F.sum(c).alias(c) for c in ("real_asset", "last_day_asset", "trade_value")])
     # Held rows come first, lowest currency first; the trade row has no real_asset.
-    currencies = Window.partitionBy(*_STOCK)
-    held_order = currencies.orderBy(F.col("real_asset").isNull(), "money_type")
+    # Both windows use the one order, so the rows are sorted once.
+    ranked = Window.partitionBy(*_STOCK).orderBy(F.col("real_asset").isNull(), "money_type")
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     zero = F.lit(0).cast(_AMOUNT)
     placed = (
-        totals.withColumn("_traded", F.sum("trade_value").over(currencies))
-        .withColumn("_place", F.row_number().over(held_order))
+        totals.select("*", F.sum("trade_value").over(whole).alias("_traded"),
+                      F.row_number().over(ranked).alias("_place"))
         .filter(F.col("real_asset").isNotNull())
         .withColumn("trade_value", F.when(F.col("_place") == 1, F.coalesce("_traded", zero))
                     .otherwise(zero))

@@ -11,6 +11,12 @@ from tallyhouse.functions import rules
 from tallyhouse.sinks.keyed import write_keyed
 
 
+def split_rowkey(snapshot: DataFrame, *names: str) -> DataFrame:
+    """The pieces of a joined row key as columns, in place of the key."""
+    return snapshot.select(*[rules.key_part("rowkey", i).alias(n) for i, n in enumerate(names)],
+                           *[c for c in snapshot.columns if c != "rowkey"])
+
+
 def snapshot_rows(snapshot: DataFrame, value: str = "value") -> DataFrame:
     """Snapshot rows with a number other than 0 in ``value`` (empty is 0)."""
     return snapshot.withColumn(value, rules.amount(snapshot, value)).filter(F.col(value) != 0)

@@ -6,7 +6,10 @@ holds each batch once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -17,7 +20,8 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Replace one batch. Adaptive execution sizes the files, so a small batch is one."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
@@ -28,3 +32,14 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     """Rows of all batches, with ``batch_id``."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(with_batch).parquet(path)
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, new_path: str, upto: int,
+            combine: Callable[[DataFrame], DataFrame]) -> None:
+    """Combine the batches up to ``upto`` into the start of a new table.
+
+    ``upto`` is the last committed batch of the stopped stream: a later one will be
+    run again. Then start the stream on ``new_path`` with the same checkpoint.
+    """
+    old = read_batches(spark, path, schema).filter(F.col("batch_id") <= upto)
+    write_batch(combine(old).select(*schema.fieldNames()), new_path, -1)

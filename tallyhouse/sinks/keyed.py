@@ -21,20 +21,22 @@ def write_keyed(df: DataFrame, path: str, keys: Sequence[str]) -> None:
      .option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").parquet(path))
 
 
+def date_path(path: str, biz_date: str) -> str:
+    return f"{path}/biz_date={biz_date}"
+
+
 def write_for_date(df: DataFrame, path: str, keys: Sequence[str], biz_date: str) -> None:
-    """Replace one business date of the table at ``path``; other dates stay."""
-    (df.withColumn("biz_date", F.lit(biz_date)).sortWithinPartitions(*keys).write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option(f"parquet.bloom.filter.enabled#{keys[0]}", "true")
-     .partitionBy("biz_date").parquet(path))
+    """Replace one business date of the table at ``path``; other dates stay.
+
+    The date's folder is replaced as a whole, so an empty result clears it too
+    (a dynamic partition overwrite would leave the old rows).
+    """
+    write_keyed(df, date_path(path, biz_date), keys)
 
 
-def read_for_date(spark: SparkSession, path: str, biz_date: str, schema=None) -> DataFrame:
+def read_for_date(spark: SparkSession, path: str, biz_date: str) -> DataFrame:
     """Rows of one business date; other dates' files are not opened."""
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(f"{path}/biz_date={biz_date}")
+    return spark.read.parquet(date_path(path, biz_date))
 
 
 def lookup(table: DataFrame, **key: str) -> DataFrame:

@@ -45,8 +45,8 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
                  every: str | None = "5 seconds", forget_after: str | None = None) -> StreamingQuery:
     """Run the order stream.
 
-    Each batch writes its new orders, then the per-second totals of what it wrote,
-    each to a folder of the batch's number. A batch repeated after a failure
+    Each batch writes its new orders and their per-second totals, each to a folder
+    of the batch's number. A batch repeated after a failure
     replaces both folders, so no order is lost or counted twice.
     """
     spark = messages.sparkSession
@@ -61,12 +61,16 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
             "load_ts", F.try_to_timestamp("timeload", F.lit("yyyy-MM-dd HH:mm:ss")))
         fresh, mode = new_orders_within(timed, forget_after), "append"
 
+    staging = f"{checkpoint.rstrip('/')}-staging"
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        batches.write_batch(batch, seen_path, batch_id)
-        # From the written folder: the stateful plan runs only once.
-        written = batches.read_batch(session, seen_path, batch_id, schemas.FIRST_SEEN)
-        batches.write_batch(events.per_second(written), totals_path, batch_id)
+        # The stateful plan runs once, into a folder that every batch replaces. Its
+        # session cannot size partitions adaptively; the caller's reads it back and
+        # can, so that a batch does not leave one file per state partition.
+        batch.write.mode("overwrite").parquet(staging)
+        fresh_orders = spark.read.schema(schemas.FIRST_SEEN).parquet(staging)
+        batches.write_batch(fresh_orders, seen_path, batch_id)
+        batches.write_batch(events.per_second(fresh_orders), totals_path, batch_id)
 
     return jobs.start(fresh.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
 
@@ -76,8 +80,18 @@ def read_seen(spark: SparkSession, seen_path: str) -> DataFrame:
     return batches.read_batches(spark, seen_path, schemas.FIRST_SEEN).drop("batch_id")
 
 
-def read_totals(spark: SparkSession, totals_path: str) -> DataFrame:
-    """One row per second: the parts that the batches wrote, added up."""
-    parts = batches.read_batches(spark, totals_path, schemas.SECOND_TOTALS)
+def _add_up(parts: DataFrame) -> DataFrame:
     return parts.groupBy("init_date", "load_time").agg(
         F.sum("entrust_num").alias("entrust_num"), F.sum("balance").alias("balance"))
+
+
+def read_totals(spark: SparkSession, totals_path: str) -> DataFrame:
+    """One row per second: the parts that the batches wrote, added up."""
+    return _add_up(batches.read_batches(spark, totals_path, schemas.SECOND_TOTALS))
+
+
+def compact_orders(spark: SparkSession, seen_path: str, totals_path: str, new_seen_path: str,
+                   new_totals_path: str, upto: int) -> None:
+    """Combine the folders of both tables; see :func:`~tallyhouse.sinks.batches.compact`."""
+    batches.compact(spark, seen_path, schemas.FIRST_SEEN, new_seen_path, upto, lambda df: df)
+    batches.compact(spark, totals_path, schemas.SECOND_TOTALS, new_totals_path, upto, _add_up)

@@ -37,7 +37,6 @@ def read_transfers(spark: SparkSession, path: str) -> DataFrame:
     return events.merge_transfers(batches.read_batches(spark, path, schemas.TRANSFERS))
 
 
-def compact_transfers(spark: SparkSession, path: str, new_path: str) -> None:
-    """Write the merged table as the start of a new one; then run the stream on that."""
-    merged = read_transfers(spark, path).select(*_NAMES)
-    batches.write_batch(merged, new_path, -1)
+def compact_transfers(spark: SparkSession, path: str, new_path: str, upto: int) -> None:
+    """Combine the changes; see :func:`~tallyhouse.sinks.batches.compact`."""
+    batches.compact(spark, path, schemas.TRANSFERS, new_path, upto, events.merge_transfers)

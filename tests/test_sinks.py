@@ -29,7 +29,9 @@ def test_one_date_is_replaced(spark, tmp_path):
     keyed.write_for_date(df("b"), path, ["k"], "20240102")
     keyed.write_for_date(df("c"), path, ["k"], "20240101")
     assert rows(spark.read.parquet(path).select("biz_date", "k")) == [(20240101, "c"), (20240102, "b")]
-    assert rows(keyed.read_for_date(spark, path, "20240102").select("k")) == [("b",)]
+    assert rows(keyed.read_for_date(spark, path, "20240102")) == [("b",)]
+    keyed.write_for_date(df("x").limit(0), path, ["k"], "20240102")
+    assert keyed.read_for_date(spark, path, "20240102").count() == 0
 
 
 def test_blocks(spark, tmp_path):

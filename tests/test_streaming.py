@@ -75,6 +75,30 @@ def test_failed_batch_is_repeated_once(spark, tmp_path):
     assert os.path.exists(last)
 
 
+def test_stream_goes_on_after_compaction(spark, tmp_path):
+    job = Orders(spark, tmp_path)
+    job.send(message(1), message(2, POSITION_STR="q"))
+    job.run()
+    job.send(message(3, POSITION_STR="r"))
+    want = job.run()
+    old = job.seen, job.totals
+    job.seen, job.totals = f"{job.root}/seen2", f"{job.root}/totals2"
+    orders.compact_orders(spark, *old, job.seen, job.totals, upto=1)
+    assert job.run() == want
+    job.send(message(4), message(5, POSITION_STR="s"))
+    seen, totals = job.run()
+    assert [r[0] for r in seen] == ["p", "q", "r", "s"] and [t[2] for t in totals] == [4]
+    folders = glob.glob(f"{job.seen}/batch_id=*")
+    assert all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in folders), "small batches leave one file"
+
+
+def test_unseen_orders(spark):
+    df = events.order_events(events.parse_events(spark.createDataFrame(
+        [message(1), message(2), message(3, POSITION_STR="q")], schemas.MESSAGE)))
+    seen = spark.createDataFrame([("q",)], "position_str string")
+    assert rows(events.unseen_orders(df, seen), "position_str", "offset") == [("p", 1)]
+
+
 def test_forgetting_stream(spark, tmp_path):
     job = Orders(spark, tmp_path)
     job.send(message(1), message(2), message(3, POSITION_STR="q"))
@@ -110,7 +134,7 @@ def test_transfers_equal_batch_and_ignore_repeats(spark, sf_dir, tmp_path, trans
     messages.filter("offset < 500").write.mode("append").parquet(inbox)
     start().awaitTermination()
     assert state() == want
-    transfers.compact_transfers(spark, table, f"{tmp_path}/table2")
+    transfers.compact_transfers(spark, table, f"{tmp_path}/table2", upto=4)
     assert state(f"{tmp_path}/table2") == want
 
 
