@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
 
-_AMOUNT = "decimal(38,6)"
 _STOCK = ("book", "fund_account", "stock_code")
 
+#: Amounts of a stacked row. Each comes from one input only, so it keeps that
+#: input's type and is not widened row by row.
+_AMOUNTS = {"real_asset": "decimal(38,6)", "last_day_asset": "decimal(18,4)",
+            "trade_value": "decimal(18,4)"}
 
-def _entries(df: DataFrame, currency, **amounts) -> DataFrame:
-    columns = {"real_asset": F.lit(None), "last_day_asset": F.lit(None),
-               "trade_value": F.lit(None), **amounts}
-    return df.select(*_STOCK, currency.cast("string").alias("money_type"),
-                     *[c.cast(_AMOUNT).alias(n) for n, c in columns.items()])
+
+def _entries(df: DataFrame, currency: Column, amount: str, source: str) -> DataFrame:
+    amounts = [(F.col(source) if name == amount else F.lit(None)).cast(kind).alias(name)
+               for name, kind in _AMOUNTS.items()]
+    return df.select(*_STOCK, currency.cast("string").alias("money_type"), *amounts)
 
 
 def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame) -> DataFrame:
@@ -31,17 +34,16 @@ def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame
     currencies of one stock. Stocks sold out today have no row, as in the reference.
     """
     stacked = (
-        _entries(valued, F.col("money_type"), real_asset=F.col("market_value"))
-        .unionByName(_entries(last_day, F.col("money_type"), last_day_asset=F.col("value")))
-        .unionByName(_entries(trades, F.lit(None), trade_value=F.col("net_trade")))
+        _entries(valued, F.col("money_type"), "real_asset", "market_value")
+        .unionByName(_entries(last_day, F.col("money_type"), "last_day_asset", "value"))
+        .unionByName(_entries(trades, F.lit(None), "trade_value", "net_trade"))
     )
-    totals = stacked.groupBy(*_STOCK, "money_type").agg(
-        *[F.sum(c).alias(c) for c in ("real_asset", "last_day_asset", "trade_value")])
+    totals = stacked.groupBy(*_STOCK, "money_type").agg(*[F.sum(c).alias(c) for c in _AMOUNTS])
     # Held rows come first, lowest currency first; the trade row has no real_asset.
     # Both windows use the one order, so the rows are sorted once.
     ranked = Window.partitionBy(*_STOCK).orderBy(F.col("real_asset").isNull(), "money_type")
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    zero = F.lit(0).cast(_AMOUNT)
+    zero = F.lit(0).cast("decimal(28,4)")
     placed = (
         totals.select("*", F.sum("trade_value").over(whole).alias("_traded"),
                       F.row_number().over(ranked).alias("_place"))
@@ -52,14 +54,13 @@ def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame
     )
     income = F.col("real_asset") - F.col("trade_value") - F.col("last_day_asset")
     return placed.select(*_STOCK, "money_type", "real_asset", "last_day_asset", "trade_value",
-                         income.cast(_AMOUNT).alias("today_income"))
+                         income.cast("decimal(38,6)").alias("today_income"))
 
 
 def stock_income_text(income: DataFrame) -> DataFrame:
     """The four amounts as text with four decimals."""
-    amounts = ("real_asset", "last_day_asset", "trade_value", "today_income")
-    return income.select(*_STOCK, "money_type",
-                         *[rules.text4(F.col(c)).alias(c) for c in amounts])
+    return income.select(*_STOCK, "money_type", *[rules.text4(F.col(c)).alias(c)
+                                                  for c in (*_AMOUNTS, "today_income")])
 
 
 def stock_income_json(income: DataFrame) -> DataFrame:

@@ -372,14 +372,14 @@ def _events(spark, sf_dir):
 
 
 @query("""select event_id as "offset", tablename, oper_type,
-       strftime(ts, '%Y-%m-%d %H:%M:%S') as timeload, epoch(date_trunc('second', ts))::bigint as load_epoch,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') as timeload, strftime(ts, '%Y%m%d%H%M%S') as load_second,
        position_str, fund_account, money_type, business_flag, init_date, curr_time,
        cast(balance as double) as business_balance, cast(balance as double) as occur_balance from fx_cdc""")
 def cdc_parse(spark, sf_dir):
     parsed = _events(spark, sf_dir)
     return as_doubles(parsed.select(
         "offset", "tablename", "oper_type", "timeload",
-        F.unix_timestamp("load_ts").alias("load_epoch"), "position_str", "fund_account",
+        F.date_format("load_ts", "yyyyMMddHHmmss").alias("load_second"), "position_str", "fund_account",
         "money_type", "business_flag", "init_date", "curr_time", "business_balance",
         "occur_balance"))
 
@@ -451,9 +451,13 @@ def bank_transfer_merge(spark, sf_dir):
 def _run_orders(spark, sf_dir) -> tuple[str, str]:
     root = new_folder(spark, "orders")
     inbox, seen, totals = (f"{root}/{part}" for part in ("inbox", "seen", "totals"))
+    # Keys are many and small: a few parts of state per core are enough.
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                2 * spark.sparkContext.defaultParallelism)
     replay.replay(fixtures.change_messages(spark, sf_dir), inbox,
                   lambda: orders.start_orders(file_messages(spark, inbox), seen, totals,
-                                              f"{root}/checkpoint", every=None))
+                                              f"{root}/checkpoint", every=None,
+                                              state_partitions=parts))
     return seen, totals
 
 

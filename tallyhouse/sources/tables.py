@@ -29,7 +29,7 @@ def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df if columns is None else df.select(*columns)
 
 
-def spread_small(df: DataFrame, least: int = 1 << 20, most: int = 1 << 26) -> DataFrame:
+def spread_small(df: DataFrame, least: int = 1 << 20, most: int = 1 << 24) -> DataFrame:
     """Deal the rows of a small table out to all cores.
 
     A table of one row group is read by one task however many cores there are. Only

@@ -23,8 +23,23 @@ def _default_provider(key: str) -> str | None:
     return "false"
 
 
-def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
-    """Start with a processing-time trigger, or without ``every`` take what is there and stop."""
+def start(writer: DataStreamWriter, checkpoint: str, every: str | None,
+          spark: SparkSession | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start with a processing-time trigger, or without ``every`` take what is there and stop.
+
+    ``state_partitions`` is the number of parts the state is kept in, the session's
+    shuffle partitions by default; the first run of a checkpoint settles it.
+    """
     writer = writer.option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return writer.trigger(**trigger).start()
+    writer = writer.trigger(**trigger)
+    if spark is None or state_partitions is None:
+        return writer.start()
+    # The query copies the session's settings as it starts.
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, state_partitions)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(name, usual)

@@ -42,7 +42,8 @@ def new_orders_within(orders: DataFrame, delay: str) -> DataFrame:
 
 
 def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoint: str,
-                 every: str | None = "5 seconds", forget_after: str | None = None) -> StreamingQuery:
+                 every: str | None = "5 seconds", forget_after: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Run the order stream.
 
     Each batch writes its new orders and their per-second totals, each to a folder
@@ -72,7 +73,8 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
         batches.write_batch(fresh_orders, seen_path, batch_id)
         batches.write_batch(events.per_second(fresh_orders), totals_path, batch_id)
 
-    return jobs.start(fresh.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
+    return jobs.start(fresh.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every,
+                      spark, state_partitions)
 
 
 def read_seen(spark: SparkSession, seen_path: str) -> DataFrame:
