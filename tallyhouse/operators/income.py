@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
 
 _STOCK = ("book", "fund_account", "stock_code")
 
-#: Amounts of a stacked row. Each comes from one input only, so it keeps that
-#: input's type and is not widened row by row.
-_AMOUNTS = {"real_asset": "decimal(38,6)", "last_day_asset": "decimal(18,4)",
-            "trade_value": "decimal(18,4)"}
-
-
-def _entries(df: DataFrame, currency: Column, amount: str, source: str) -> DataFrame:
-    amounts = [(F.col(source) if name == amount else F.lit(None)).cast(kind).alias(name)
-               for name, kind in _AMOUNTS.items()]
-    return df.select(*_STOCK, currency.cast("string").alias("money_type"), *amounts)
+#: Result amounts and the column of the input each comes from.
+_AMOUNTS = {"real_asset": "market_value", "last_day_asset": "value", "trade_value": "net_trade"}
 
 
 def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame) -> DataFrame:
@@ -33,17 +27,24 @@ def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame
     lowest ``money_type`` so that it counts once. The window below only sees the
     currencies of one stock. Stocks sold out today have no row, as in the reference.
     """
-    stacked = (
-        _entries(valued, F.col("money_type"), "real_asset", "market_value")
-        .unionByName(_entries(last_day, F.col("money_type"), "last_day_asset", "value"))
-        .unionByName(_entries(trades, F.lit(None), "trade_value", "net_trade"))
-    )
+    inputs = {"real_asset": valued, "last_day_asset": last_day, "trade_value": trades}
+    # Each amount comes from one input and keeps its type, so none is widened row by row.
+    kinds = {name: df.schema[_AMOUNTS[name]].dataType for name, df in inputs.items()}
+
+    def entries(amount: str) -> DataFrame:
+        df = inputs[amount]
+        currency = F.col("money_type") if "money_type" in df.columns else F.lit(None).cast("string")
+        amounts = [(F.col(_AMOUNTS[n]) if n == amount else F.lit(None).cast(kind)).alias(n)
+                   for n, kind in kinds.items()]
+        return df.select(*_STOCK, currency.alias("money_type"), *amounts)
+
+    stacked = reduce(DataFrame.unionByName, map(entries, inputs))
     totals = stacked.groupBy(*_STOCK, "money_type").agg(*[F.sum(c).alias(c) for c in _AMOUNTS])
     # Held rows come first, lowest currency first; the trade row has no real_asset.
     # Both windows use the one order, so the rows are sorted once.
     ranked = Window.partitionBy(*_STOCK).orderBy(F.col("real_asset").isNull(), "money_type")
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    zero = F.lit(0).cast("decimal(28,4)")
+    zero = F.lit(0)
     placed = (
         totals.select("*", F.sum("trade_value").over(whole).alias("_traded"),
                       F.row_number().over(ranked).alias("_place"))
