@@ -14,7 +14,7 @@ from tallyhouse.session import build_session
 from tallyhouse.sinks.keyed import read_for_date, write_keyed
 from tallyhouse.sources.messages import kafka_messages
 from tallyhouse.sources.tables import scan_table
-from tallyhouse.streaming import orders, transfers
+from tallyhouse.streaming import documents, orders, transfers
 
 #: Stored tables a valuation reads, by the folder they are in.
 INPUTS = {"positions": schemas.POSITIONS, "credit_positions": schemas.POSITIONS,
@@ -78,6 +78,11 @@ def transfers_job(spark: SparkSession, args: argparse.Namespace) -> None:
                               args.every).awaitTermination()
 
 
+def documents_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    documents.start_documents(_messages(spark, args, "earliest"), args.out, args.checkpoint,
+                              args.every).awaitTermination()
+
+
 def _list(text: str) -> list[str]:
     return text.split(",")
 
@@ -105,8 +110,10 @@ def parser() -> argparse.ArgumentParser:
     order_job.add_argument("--forget-after", help="forget keys this long after their time")
     order_job.add_argument("--every", default="5 seconds")
     transfer_job = job("transfers", transfers_job, "keep the bank-transfer table", *stream, "out")
-    transfer_job.add_argument("--every", default="10 seconds")
-    for sub in (order_job, transfer_job):
+    document_job = job("documents", documents_job, "keep the index documents", *stream, "out")
+    for sub in (transfer_job, document_job):
+        sub.add_argument("--every", default="10 seconds")
+    for sub in (order_job, transfer_job, document_job):
         sub.add_argument("--per-trigger", type=int, help="most messages per micro-batch")
     return top
 

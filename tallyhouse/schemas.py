@@ -85,6 +85,16 @@ TRANSFERS = T.StructType([
     T.StructField("biz_dt", T.TimestampType()),
 ])
 
+DOCUMENTS = T.StructType([
+    T.StructField("index", T.StringType()),
+    T.StructField("doc_id", T.StringType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("fund_account", T.StringType()),
+    T.StructField("money_type", T.StringType()),
+    T.StructField("occur_balance", MONEY),
+    T.StructField("time_load", T.StringType()),
+])
+
 RUN_LOG = T.StructType([
     T.StructField("step_name", T.StringType()),
     T.StructField("start_time", T.StringType()),

@@ -19,7 +19,9 @@ def new_orders(orders: DataFrame) -> DataFrame:
     latest micro-batch that had the key; they are equal only in the batch where the
     key is new. Rows of one key are reduced in the map tasks before they reach the
     state, so a key that makes up much of a batch is no hot spot, and a batch costs
-    as much as its own keys, whatever the number of keys already seen.
+    as much as its own keys, whatever the number of keys already seen. The batch time
+    is the engine's own, kept in its log, so a repeated batch has the same one; it has
+    to differ between batches, which holds while the driver's clock is not set back.
     """
     stamped = orders.withColumn("_batch", F.current_timestamp())
     first = F.min_by(F.struct("offset", "entrust_time", "balance"), F.struct("_batch", "offset"))

@@ -65,9 +65,9 @@ def test_quotes(spark, tmp_path, tables):
     assert rows(spark.read.parquet(out)) == [("new", "1", None, "8.0000"), ("s", "1", "2", "2.5"), ("t", "1", "3", "9.0000")]
 
 
-@pytest.mark.parametrize("job", ["orders", "transfers"])
+@pytest.mark.parametrize("job", ["orders", "transfers", "documents"])
 def test_stream_options(job):
-    paths = {"orders": ["--seen", "s", "--totals", "t"], "transfers": ["--out", "o"]}[job]
+    paths = ["--seen", "s", "--totals", "t"] if job == "orders" else ["--out", "o"]
     args = jobs.parser().parse_args([job, "--servers", "h:1", "--topics", "x", "--checkpoint", "c", *paths,
                                      "--per-trigger", "200"])
-    assert args.every == {"orders": "5 seconds", "transfers": "10 seconds"}[job] and args.per_trigger == 200
+    assert args.every == ("5 seconds" if job == "orders" else "10 seconds") and args.per_trigger == 200

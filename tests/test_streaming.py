@@ -10,9 +10,10 @@ from test_events import message
 
 from tallyhouse import schemas
 from tallyhouse.operators import events
+from tallyhouse.operators.documents import doc_route, doc_upsert
 from tallyhouse.plans import fixtures
 from tallyhouse.sources.messages import file_messages, kafka_options, saved_offsets
-from tallyhouse.streaming import orders, progress, transfers
+from tallyhouse.streaming import documents, orders, progress, transfers
 from tallyhouse.streaming.replay import replay
 
 
@@ -138,6 +139,35 @@ def test_transfers_equal_batch_and_ignore_repeats(spark, sf_dir, tmp_path, trans
     assert state(f"{tmp_path}/table2") == want
 
 
+def test_documents_equal_batch_and_ignore_repeats(spark, sf_dir, tmp_path):
+    inbox, table = f"{tmp_path}/inbox", f"{tmp_path}/table"
+
+    def start():
+        return documents.start_documents(file_messages(spark, inbox), table, f"{tmp_path}/checkpoint", every=None)
+
+    messages = fixtures.document_messages(spark, sf_dir)
+    replay(messages, inbox, start)
+    want = rows(doc_upsert(doc_route(events.parse_events(messages))), *schemas.DOCUMENTS.fieldNames())
+    state = lambda path: rows(documents.read_documents(spark, path), *schemas.DOCUMENTS.fieldNames())
+    assert state(table) == want
+    messages.filter("offset < 400").write.mode("append").parquet(inbox)
+    start().awaitTermination()
+    assert state(table) == want
+    documents.compact_documents(spark, table, f"{tmp_path}/table2", upto=3)
+    assert state(f"{tmp_path}/table2") == want
+
+
+def test_stream_reduces_keys_before_the_state(spark, tmp_path):
+    job = Orders(spark, tmp_path)
+    job.send(message(1), message(2))
+    query = job.start()
+    query.awaitTermination()
+    text = query._jsq.explainInternal(False)
+    partial, shuffle, store = (text.index(w) for w in ("partial_min_by", "Exchange hashpartitioning", "StateStoreSave"))
+    assert store < shuffle < partial, "printed from the last step to the first"
+    assert "Python" not in text
+
+
 def test_progress(spark, sf_dir, transfer_job):
     inbox, _, start = transfer_job
     runs = replay(fixtures.change_messages(spark, sf_dir), inbox, start, slices=2)
