@@ -69,18 +69,31 @@ def run_valuation(spark: SparkSession, inputs: Mapping[str, DataFrame], out: str
     """Write the chosen result tables for ``biz_date`` below ``out``, and the log.
 
     A date run again is replaced, other dates stay, and stale accounts go with the
-    old rows. ``of_date=False`` takes journal and trades of all dates. A failing
-    step stops the run: tables written before it are complete.
+    old rows. ``of_date=False`` takes journal and trades of all dates. A step that
+    fails does not keep the others from running; the errors are raised at the end,
+    when all finished steps are written and logged.
     """
     log = RunLog()
     date = biz_date if of_date else None
+    errors: list[Exception] = []
     for name in steps:
-        keys, build = STEPS[name]
-        path = f"{out}/{name}"
-        log.write(name, build(inputs, date), lambda df: write_for_date(df, path, keys, biz_date))
-        if name in ROLLUPS:
-            stocks = read_for_date(spark, path, biz_date)
-            total = ROLLUPS[name]
-            log.write(total, valuation.account_market_value(stocks),
-                      lambda df: write_for_date(df, f"{out}/{total}", ACCOUNT, biz_date))
+        try:
+            _run_step(spark, log, name, inputs, out, biz_date, date)
+        except Exception as error:
+            error.add_note(f"valuation step {name}")
+            errors.append(error)
     log.append_to(spark, f"{out}/run_log")
+    if errors:
+        raise ExceptionGroup("valuation steps failed", errors)
+
+
+def _run_step(spark: SparkSession, log: RunLog, name: str, inputs: Mapping[str, DataFrame],
+              out: str, biz_date: str, date: str | None) -> None:
+    keys, build = STEPS[name]
+    log.write(name, build(inputs, date),
+              lambda df: write_for_date(df, f"{out}/{name}", keys, biz_date))
+    if name in ROLLUPS:
+        total = ROLLUPS[name]
+        stocks = read_for_date(spark, f"{out}/{name}", biz_date)
+        log.write(total, valuation.account_market_value(stocks),
+                  lambda df: write_for_date(df, f"{out}/{total}", ACCOUNT, biz_date))

@@ -104,5 +104,15 @@ def test_run_again_replaces_only_its_date(spark, tmp_path, sf_dir):
     assert spark.read.parquet(f"{out}/run_log").count() == 3
 
 
+def test_failing_step_leaves_the_others(spark, tmp_path, sf_dir):
+    inputs, out = registry._run_inputs(spark, sf_dir), str(tmp_path)
+    inputs["holdings"] = inputs["holdings"].drop("prod_code")
+    with pytest.raises(ExceptionGroup) as failed:
+        run_valuation(spark, inputs, out, "20240102", steps=["offexchange_value", "cash"])
+    assert failed.value.exceptions[0].__notes__ == ["valuation step offexchange_value"]
+    assert rows(spark.read.parquet(f"{out}/run_log"), "step_name") == [("cash",)]
+    assert spark.read.parquet(f"{out}/cash").count() > 0
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
