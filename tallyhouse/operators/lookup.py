@@ -9,7 +9,7 @@ once, whatever the sample says.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -55,13 +55,20 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], sample: float, share: float)
 def left_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str],
                 broadcast_limit: int = BROADCAST_LIMIT, salts: int = SALTS,
                 sample: float = 0.01, share: float = 0.005,
-                heavy: DataFrame | None = None) -> DataFrame:
-    """``df`` left join ``lookup``, which must hold at most one row per key."""
+                heavy: DataFrame | None = None,
+                keys_from: Callable[[], DataFrame] | None = None) -> DataFrame:
+    """``df`` left join ``lookup``, which must hold at most one row per key.
+
+    The heavy keys are sampled from what ``keys_from`` returns, where given: a frame
+    with the keys of ``df`` that is cheaper to read, such as the stored table before a
+    join. A lookup that proves small only as it runs is still broadcast by adaptive
+    execution.
+    """
     keys = list(keys)
     if planned_bytes(lookup) <= broadcast_limit:
         return df.join(F.broadcast(lookup), keys, "left")
     if heavy is None:
-        heavy = heavy_keys(df, keys, sample, share)
+        heavy = heavy_keys(keys_from() if keys_from else df, keys, sample, share)
     marked = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
     # The salt comes from the row and the number of its task's partition, so a
     # re-run task repeats it, and copies of one row part by task.

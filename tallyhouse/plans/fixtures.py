@@ -28,6 +28,17 @@ select cast(o.o_custkey as string) as fund_account,
        case when l.l_returnflag = 'N' then '' else cast(l.l_suppkey as string) end as real_buy_amount,
        case when l.l_returnflag = 'A' then '' else cast(l.l_linenumber as string) end as real_sell_amount
 from {lineitem} l join {orders} o on l.l_orderkey = o.o_orderkey
+""",
+    "fx_position_keys": """
+select cast(l_partkey as string) as stock_code,
+       case when l_linenumber = 7 then 'X'
+            when l_partkey % 5 = 0 then 'G' when l_partkey % 5 = 1 then 'S'
+            when l_partkey % 5 = 2 then '2' when l_partkey % 5 = 3 then '9' else '1' end as exchange_type
+from {lineitem}
+""",
+    "fx_holding_keys": """
+select cast(l_suppkey % 9 as string) as prod_code, cast(l_suppkey % 2 as string) as prodta_no
+from {lineitem}
 """,
     "fx_prices": """
 select cast(p_partkey as string) as stock_code,
@@ -161,7 +172,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One derived record shape over the tables in ``sf_dir``."""
+    """One derived record shape over the tables in ``sf_dir``.
+
+    The ``_keys`` shapes are the lookup keys of another shape without its join.
+    """
     text = SHAPES[name]
     names = set(re.findall(r"{(\w+)}", text))
     sources = {t: table(spark, sf_dir, t) for t in names}

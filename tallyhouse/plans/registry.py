@@ -119,7 +119,8 @@ def _valued(spark: SparkSession, sf_dir: str, book: str | None = None) -> DataFr
     positions = shape(spark, sf_dir, "fx_positions")
     if book is not None:
         positions = positions.filter(F.col("book") == book)
-    return valuation.position_market_value(positions, shape(spark, sf_dir, "fx_prices"))
+    return valuation.position_market_value(positions, shape(spark, sf_dir, "fx_prices"),
+                                           keys_from=lambda: shape(spark, sf_dir, "fx_position_keys"))
 
 
 # --- sources ---------------------------------------------------------------
@@ -201,7 +202,8 @@ from fx_offexchange h left join n on h.prod_code = n.prod_code and h.prodta_no =
 group by h.fund_account, h.money_type""")
 def offexchange_market_value(spark, sf_dir):
     return as_doubles(valuation.offexchange_market_value(
-        shape(spark, sf_dir, "fx_offexchange"), shape(spark, sf_dir, "fx_nav")))
+        shape(spark, sf_dir, "fx_offexchange"), shape(spark, sf_dir, "fx_nav"),
+        keys_from=lambda: shape(spark, sf_dir, "fx_holding_keys")))
 
 
 # --- cash, credit, journal, trades -----------------------------------------

@@ -72,3 +72,14 @@ def test_valuation_with_large_lookup(spark, sf_dir):
     total = lambda **o: rows(valuation.account_market_value(
         valuation.position_market_value(positions, prices, **o)))
     assert total() == total(broadcast_limit=0, sample=1.0, share=0.001)
+
+
+def test_key_shapes_hold_the_keys_of_their_shape(spark, sf_dir):
+    for keys, whole, names in (("fx_position_keys", "fx_positions", valuation.PRICE_KEYS),
+                               ("fx_holding_keys", "fx_offexchange", valuation.NAV_KEYS)):
+        got = shape(spark, sf_dir, keys)
+        assert rows(got) == rows(shape(spark, sf_dir, whole).select(*names))
+        positions = shape(spark, sf_dir, whole)
+        lookup = got.distinct().withColumn("p", F.lit(1))
+        joined = left_lookup(positions, lookup, names, broadcast_limit=0, sample=1.0, keys_from=lambda: got)
+        assert joined.filter("p = 1").count() == positions.count()

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_events import message
 
@@ -12,6 +13,7 @@ from tallyhouse import schemas
 from tallyhouse.operators import events
 from tallyhouse.operators.documents import doc_route, doc_upsert
 from tallyhouse.plans import fixtures
+from tallyhouse.sinks import batches
 from tallyhouse.sources.messages import file_messages, kafka_options, saved_offsets
 from tallyhouse.streaming import documents, orders, progress, transfers
 from tallyhouse.streaming.replay import replay
@@ -76,6 +78,26 @@ def test_failed_batch_is_repeated_once(spark, tmp_path):
     assert os.path.exists(last)
 
 
+def test_failure_between_the_two_tables(spark, tmp_path, monkeypatch):
+    job = Orders(spark, tmp_path)
+    job.send(message(1), message(2, POSITION_STR="q"))
+    job.run()
+    job.send(message(3, POSITION_STR="r"), message(4))
+    write = batches.write_batch
+
+    def fail_on_totals(df, path, batch_id):
+        if path == job.totals:
+            raise RuntimeError("lost the driver")
+        write(df, path, batch_id)
+
+    monkeypatch.setattr(batches, "write_batch", fail_on_totals)
+    with pytest.raises(StreamingQueryException):
+        job.run()
+    monkeypatch.undo()
+    seen, totals = job.run()
+    assert [r[0] for r in seen] == ["p", "q", "r"] and [t[2] for t in totals] == [3]
+
+
 def test_stream_goes_on_after_compaction(spark, tmp_path):
     job = Orders(spark, tmp_path)
     job.send(message(1), message(2, POSITION_STR="q"))
