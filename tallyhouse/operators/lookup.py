@@ -1,29 +1,31 @@
 """Left join of a large table with a table of one row per key.
 
 Small lookups (by the optimizer's size figure) are broadcast, so the large side
-is not shuffled. Larger ones are shuffled, after giving the heavy keys a salt:
-those keys are found in a sample of the large side, their lookup rows are copied
-to every salt, and all other keys keep salt 0. Every row is still matched exactly
-once, whatever the sample says.
+is not shuffled. Larger ones are shuffled, after giving the heavy keys salts: those
+keys are found in a sample of the large side, each is split into pieces in
+proportion to its share, its lookup row is copied to every piece, and all other
+keys keep salt 0. Every row is still matched exactly once, whatever the sample says.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Broadcast no lookup whose planned size is above this many bytes.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
 #: Never treat more keys than this as heavy; bounds the list sent to the tasks.
-MAX_HEAVY_KEYS = 1000
+MAX_HEAVY_KEYS = 10_000
 
-#: Parts a heavy key is split into.
-SALTS = 64
+#: Pieces of a heavy key per shuffle partition that it would fill on average.
+PIECES = 4
 
 _SALT = "_salt"
 
@@ -33,29 +35,34 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], sample: float, share: float) -> DataFrame:
-    """Keys holding more than ``share`` of a sample, as a small local table.
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    Collected once (at most :data:`MAX_HEAVY_KEYS` rows), because both sides of
-    the salted join must agree on the list.
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], sample: float = 0.01) -> DataFrame:
+    """Keys that would fill more than one average shuffle partition, with ``_salts``.
+
+    ``_salts`` is the number of pieces, so that a piece is a fraction of a partition
+    whatever the size of the data. Collected once (at most :data:`MAX_HEAVY_KEYS`
+    rows), because both sides of the salted join must agree on the list. Shares add
+    up to 1, so the lookup grows by at most about ``PIECES`` rows per partition.
     """
+    parts = shuffle_partitions(df)
     sampled = df.select(*keys)
     if sample < 1.0:
         sampled = sampled.sample(sample, seed=7)
     top = (sampled.groupBy(*keys).agg(F.count("*").alias("n"))
            .orderBy(F.desc("n"), *keys).limit(MAX_HEAVY_KEYS).collect())
-    # Judged against the rows of the listed keys: this marks every key above the
-    # share of the whole sample and perhaps a few lighter ones, which is harmless.
+    # Shares are of the rows of the listed keys: not below those of the whole sample.
     listed = sum(row["n"] for row in top)
-    heavy = [tuple(row[k] for k in keys) for row in top if row["n"] > max(1, share * listed)]
-    schema = df.select(*keys).schema
+    heavy = [(*(row[k] for k in keys), math.ceil(PIECES * parts * row["n"] / listed))
+             for row in top if row["n"] > 1 and row["n"] * parts > listed]
+    schema = T.StructType([*df.select(*keys).schema, T.StructField("_salts", T.IntegerType())])
     return df.sparkSession.createDataFrame(heavy, schema)
 
 
 def left_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str],
-                broadcast_limit: int = BROADCAST_LIMIT, salts: int = SALTS,
-                sample: float = 0.01, share: float = 0.005,
-                heavy: DataFrame | None = None,
+                broadcast_limit: int = BROADCAST_LIMIT, sample: float = 0.01,
                 keys_from: Callable[[], DataFrame] | None = None) -> DataFrame:
     """``df`` left join ``lookup``, which must hold at most one row per key.
 
@@ -67,19 +74,16 @@ def left_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str],
     keys = list(keys)
     if planned_bytes(lookup) <= broadcast_limit:
         return df.join(F.broadcast(lookup), keys, "left")
-    if heavy is None:
-        heavy = heavy_keys(keys_from() if keys_from else df, keys, sample, share)
-    marked = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    heavy = F.broadcast(heavy_keys(keys_from() if keys_from else df, keys, sample))
     # The salt comes from the row and the number of its task's partition, so a
     # re-run task repeats it, and copies of one row part by task.
-    spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    spread = F.xxhash64(*df.columns, F.spark_partition_id())
     # A null key matches nothing, so its rows may go anywhere.
     unmatched = reduce(or_, [F.col(k).isNull() for k in keys])
-    big = (df.join(marked, keys, "left")
-           .withColumn(_SALT, F.when(F.col("_heavy") | unmatched, spread).otherwise(0))
-           .drop("_heavy"))
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    small = (lookup.join(marked, keys, "left")
-             .withColumn(_SALT, F.explode(F.when(F.col("_heavy"), all_salts)
-                                          .otherwise(F.array(F.lit(0))))).drop("_heavy"))
+    salts = F.coalesce("_salts", F.when(unmatched, PIECES * shuffle_partitions(df)).otherwise(1))
+    big = df.join(heavy, keys, "left").withColumn(
+        _SALT, F.when(salts > 1, F.pmod(spread, salts).cast("int")).otherwise(0)).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    small = (lookup.join(heavy, keys, "left")
+             .withColumn(_SALT, F.explode(copies)).drop("_salts"))
     return big.join(small, [*keys, _SALT], "left").drop(_SALT)

@@ -25,7 +25,7 @@ def skewed(spark, tmp_path):
 def test_salted_equals_broadcast(skewed):
     df, lookup = skewed
     small = left_lookup(df, lookup, ["k", "e"])
-    large = left_lookup(df, lookup, ["k", "e"], broadcast_limit=0, salts=8, sample=1.0)
+    large = left_lookup(df, lookup, ["k", "e"], broadcast_limit=0, sample=1.0)
     assert "_salt#" in plan(large) and "_salt#" not in plan(small)
     assert small.columns == large.columns
     assert rows(small) == rows(large)
@@ -37,24 +37,24 @@ def test_salted_equals_broadcast(skewed):
 def test_rows_do_not_depend_on_the_sample(skewed, sample):
     df, lookup = skewed
     want = rows(left_lookup(df, lookup, ["k", "e"]))
-    assert rows(left_lookup(df, lookup, ["k", "e"], broadcast_limit=0, sample=sample, share=0.0)) == want
+    assert rows(left_lookup(df, lookup, ["k", "e"], broadcast_limit=0, sample=sample)) == want
 
 
 def test_heavy_key_is_found_and_split(spark, skewed):
     df, lookup = skewed
-    heavy = heavy_keys(df, ["k", "e"], 1.0, 0.1)
-    assert {r["k"] for r in heavy.collect()} >= {"h"}
     # Without adaptive coalescing each reduce task is one shuffle partition.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = left_lookup(df, lookup, ["k", "e"], broadcast_limit=0, salts=64, heavy=heavy)
+        salts = {r["k"]: r["_salts"] for r in heavy_keys(df, ["k", "e"], sample=1.0).collect()}
+        joined = left_lookup(df, lookup, ["k", "e"], broadcast_limit=0, sample=1.0)
         sizes = [n for _, n in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert salts["h"] == 22 and "k3" not in salts, "a third of all rows is 22 pieces of a quarter partition"
     assert sum(sizes) == 3000
     assert max(sizes) < 500, "the key of 1,000 rows should be spread over the tasks"
 
@@ -71,7 +71,7 @@ def test_valuation_with_large_lookup(spark, sf_dir):
     positions, prices = shape(spark, sf_dir, "fx_positions"), shape(spark, sf_dir, "fx_prices")
     total = lambda **o: rows(valuation.account_market_value(
         valuation.position_market_value(positions, prices, **o)))
-    assert total() == total(broadcast_limit=0, sample=1.0, share=0.001)
+    assert total() == total(broadcast_limit=0, sample=1.0)
 
 
 def test_key_shapes_hold_the_keys_of_their_shape(spark, sf_dir):
