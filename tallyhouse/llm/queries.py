@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe
+from tallyhouse.llm import bpe, langid, packing, quality, shards, toxicity
+from tallyhouse.llm.common import held_out
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +21,42 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(documents(spark, sf_dir))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shards.shuffled(documents(spark, sf_dir), 16)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(packing.pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    models = langid.learn(docs.filter(~held_out("doc_id", 4, 2)))
+    found = langid.identified(docs, models)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def toxic_grammar(spark: SparkSession, sf_dir: str) -> toxicity.Grammar:
+    """Learned from the labelled documents of the folder that may be learned from."""
+    learned = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out("doc_id", 5, 0))
+    return toxicity.learn(documents(spark, sf_dir), learned)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(documents(spark, sf_dir), toxic_grammar(spark, sf_dir))
+    return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_bpe": op1_bpe,
+    "op1_bpe": op1_bpe, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
+    "op7_packing": op7_packing, "op8_langid": op8_langid, "op10_toxicity": op10_toxicity,
 }
 
 #: SQL with the same rows, where SQL can express the operator.
