@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, langid, packing, quality, shards, toxicity
-from tallyhouse.llm.common import held_out
+from tallyhouse.llm import bpe, langid, lm, packing, quality, shards, substring, toxicity
+from tallyhouse.llm.common import held_out, remainder_is
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(documents(spark, sf_dir))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
@@ -42,6 +46,14 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def learned(doc_id: int | None) -> bool:
+        return doc_id is None or not remainder_is(doc_id, 7, 2)
+
+    found = lm.scored(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), learned)
+    return found.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), *found.columns[1:])
+
+
 def toxic_grammar(spark: SparkSession, sf_dir: str) -> toxicity.Grammar:
     """Learned from the labelled documents of the folder that may be learned from."""
     learned = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out("doc_id", 5, 0))
@@ -55,8 +67,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_bpe": op1_bpe, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
-    "op7_packing": op7_packing, "op8_langid": op8_langid, "op10_toxicity": op10_toxicity,
+    "op1_bpe": op1_bpe, "op3_substring": op3_substring, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
+    "op7_packing": op7_packing, "op8_langid": op8_langid, "op9_lm": op9_lm, "op10_toxicity": op10_toxicity,
 }
 
 #: SQL with the same rows, where SQL can express the operator.
