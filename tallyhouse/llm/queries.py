@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, langid, lm, packing, quality, shards, substring, toxicity
+from tallyhouse.llm import bpe, jaccard, langid, lm, packing, quality, shards, substring, toxicity
 from tallyhouse.llm.common import held_out, remainder_is
 
 
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(documents(spark, sf_dir), words=4, least=85)
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(documents(spark, sf_dir))
 
@@ -67,7 +71,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_bpe": op1_bpe, "op3_substring": op3_substring, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
+    "op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_substring": op3_substring, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
     "op7_packing": op7_packing, "op8_langid": op8_langid, "op9_lm": op9_lm, "op10_toxicity": op10_toxicity,
 }
 
