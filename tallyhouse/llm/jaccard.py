@@ -328,7 +328,7 @@ def traversed(a: Tree, b: Tree, measure: Measure) -> Iterator[tuple[np.ndarray,
         below = [len(t.levels[level - 1][0]) if level < len(t.levels) else None for t in (a, b)]
         i, j = (np.repeat(i, 64 if None not in below else 8), np.repeat(j, 64 if None not in below else 8))
         if None not in below:
-            i, j = i * 8 + np.tile(np.repeat(np.arange(8), 8), len(i) // 64), j * 8 + np.tile(np.arange(8), len(j) // 64)
+            i, j = i * 8 + np.tile(np.repeat(np.arange(8), 8), len(i) // 64), j * 8 + np.tile(np.arange(8), len(j) // 8)
         elif below[0] is not None:
             i = i * 8 + np.tile(np.arange(8), len(i) // 8)
         else:
