@@ -27,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import (WordHashes, batches_of, from_planes, id_text, mixed, packed, planes, rows_of,
+from tallyhouse.llm.common import (WordHashes, batches_of, from_planes, id_text, joined_words, mixed, packed, planes, rows_of,
                                    shuffle_partitions, split_words, stored, unpacked, window_hashes, words_lower)
 from tallyhouse.llm.graph import components
 
@@ -43,8 +44,8 @@ BLOCK = 4096
 #: Documents that common shingles are found in. The sample only orders shingles: any order gives the same links.
 SAMPLE_DOCS, COMMON = 5000, 5
 
-#: Bytes of text whose keys are packed together.
-CHUNK_BYTES = 16 << 20
+#: Bytes of text that are cut into shingles together, and slices whose keys are packed together.
+SLICE_BYTES, PACKED_SLICES = 2 << 20, 8
 
 
 @dataclasses.dataclass(frozen=True)
@@ -54,10 +55,19 @@ class Measure:
     words: int = 4
     least: int = 85
 
-    def shingles(self, text: bytes, hashes: WordHashes) -> np.ndarray:
-        """Sorted hashes of the distinct shingles; a shorter text is one shingle."""
-        words = words_lower(text)
-        return np.unique(window_hashes(hashes.of(words), min(self.words, len(words)))) if words else np.empty(0, np.uint64)
+    def shingles(self, texts: list[bytes], hashes: WordHashes) -> list[np.ndarray]:
+        """Sorted hashes of the distinct shingles of each text; a shorter text is one shingle."""
+        words = [words_lower(text) for text in texts]
+        every = [hashes.of(w) for w in words]
+        windows = window_hashes(np.concatenate(every), self.words) if every else np.empty(0, np.uint64)
+        found, at = [], 0
+        for own in every:
+            if len(own) < self.words:
+                found.append(window_hashes(own, len(own)) if len(own) else own)
+            else:
+                found.append(np.unique(windows[at:at + len(own) - self.words + 1]))
+            at += len(own)
+        return found
 
     def prefix(self, size: int) -> int:
         return size - -(-self.least * size // 100) + 1
@@ -76,20 +86,18 @@ def class_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes(), len(shingles))).view(np.int64))
 
 
-_CLASSES = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("class", pa.int64())])
-
-
-def classes(rows: DataFrame, measure: Measure) -> DataFrame:
-    """(id, n, class) of every row; n is the size of its set."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-
-        def out() -> Iterator[tuple]:
-            for doc_id, text in rows_of(batches, "id", "text"):
-                own = measure.shingles(text, hashes)
-                yield doc_id, len(own), class_of(own)
-        yield from batches_of(out(), _CLASSES)
-    return rows.mapInArrow(run, "id long, n long, class long")
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts, a bounded amount of text at a time."""
+    ids, texts, size = [], [], 0
+    for doc_id, text in rows_of(batches, "id", "text"):
+        ids.append(doc_id)
+        texts.append(text)
+        size += len(text)
+        if size >= SLICE_BYTES:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def common_shingles(rows: DataFrame, measure: Measure) -> np.ndarray:
@@ -100,20 +108,21 @@ def common_shingles(rows: DataFrame, measure: Measure) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            sets = [measure.shingles(text, hashes) for _, text in rows_of(iter([batch]), "id", "text")]
-            values, counts = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
+        for _, texts in _slices(batches):
+            values, counts = np.unique(np.concatenate(measure.shingles(texts, hashes)), return_counts=True)
             yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts)], schema=schema)
     counted = sample.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     found = counted.filter(F.col("n") >= COMMON).select("shingle").toArrow()["shingle"].to_numpy()
     return np.sort(found.view(np.uint64))
 
 
-_PACKS = pa.schema([("part", pa.int32()), ("payload", pa.binary())])
+_PACKS = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
+PAIR, CELL, NAMES, KEYS = 0, 1, 2, 3
 
 
 def _keys(rows: DataFrame, measure: Measure, common: np.ndarray) -> DataFrame:
-    """(part, payload): keys in order, with the class and size of each, packed by chunk."""
+    """(part, kind, payload), packed by chunk: keys in order, with the class and size of each
+    (KEYS), and the rows with their classes and the bitmaps of these (NAMES)."""
     parts = shuffle_partitions(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(common)  # at most the shingles of the sample over COMMON
 
@@ -127,44 +136,70 @@ def _keys(rows: DataFrame, measure: Measure, common: np.ndarray) -> DataFrame:
             if edges[part] < edges[part + 1]:
                 own, where = np.unique(numbers[edges[part]:edges[part + 1]], return_inverse=True)
                 steps = np.diff(flat[edges[part]:edges[part + 1]] >> np.uint64(16), prepend=np.uint64(0))
-                yield part, packed(planes(steps & np.uint64(0xFFFFFFFF)), planes(steps >> np.uint64(32)), planes(where),
-                                   np.array(owners, np.int64)[own], np.array(sizes, np.uint32)[own])
+                yield part, KEYS, packed(planes(steps & np.uint64(0xFFFFFFFF)), planes(steps >> np.uint64(32)), planes(where),
+                                         np.array(owners, np.int64)[own], np.array(sizes, np.uint32)[own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, often = WordHashes(), shared.value
+        hashes, often, task = WordHashes(), shared.value, TaskContext.get().partitionId()
 
         def out() -> Iterator[tuple]:
-            keys, owners, sizes, met, size = [], [], [], set(), 0
-            for _, text in rows_of(batches, "id", "text"):
-                own = measure.shingles(text, hashes)
-                size += len(text)
-                if len(own) and (name := class_of(own)) not in met:
-                    met.add(name)
-                    last = np.zeros(len(own), bool)
-                    if len(often):
-                        last = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
-                    keys.append(np.concatenate([own[~last], own[last]])[:measure.prefix(len(own))])
-                    owners.append(name)
-                    sizes.append(len(own))
-                if size >= CHUNK_BYTES and keys:
+            keys, owners, sizes, met = [], [], [], set()
+            for number, (ids, texts) in enumerate(_slices(batches), 1):
+                names, bits = [], []
+                for own in measure.shingles(texts, hashes):
+                    names.append(name := class_of(own))
+                    bits.append(b"")
+                    if len(own) and name not in met:
+                        met.add(name)
+                        bits[-1] = bitmap(own).tobytes()
+                        last = np.zeros(len(own), bool)
+                        if len(often):
+                            last = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
+                        keys.append(np.concatenate([own[~last], own[last]])[:measure.prefix(len(own))])
+                        owners.append(name)
+                        sizes.append(len(own))
+                    names[-1] = (name, len(own))
+                known = np.array([x is not None for x in ids], np.uint8)
+                widths, body = joined_words(bits)
+                yield (task * 7919 + number) % parts, NAMES, packed(
+                    np.array([x or 0 for x in ids], np.int64), known, np.array([n for n, _ in names], np.int64),
+                    np.array([n for _, n in names], np.uint32), widths, body)
+                if number % PACKED_SLICES == 0 and keys:
                     yield from pack(keys, owners, sizes)
-                    keys, owners, sizes, met, size = [], [], [], set(), 0
+                    keys, owners, sizes, met = [], [], [], set()
             if keys:
                 yield from pack(keys, owners, sizes)
         yield from batches_of(out(), _PACKS)
-    return rows.mapInArrow(run, "part int, payload binary")
+    return rows.mapInArrow(run, "part int, kind int, payload binary")
+
+
+def _named(met: DataFrame) -> DataFrame:
+    """(id, class, n, bits) of every row; the bitmap is with one row of a class at least."""
+    schema = pa.schema([("id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple]:
+            for (payload,) in rows_of(batches, "payload"):
+                ids, known, names, sizes, widths, body = unpacked(payload)
+                for i, k, name, n, bits in zip(ids.tolist(), known.tolist(), names.tolist(), sizes.tolist(), split_words(widths, body), strict=True):
+                    yield i if k else None, name, n, bits or None
+        yield from batches_of(out(), schema)
+    return met.filter(F.col("kind") == NAMES).select("payload").mapInArrow(run, "id long, class long, n long, bits binary")
 
 
-_MET = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("members", pa.int64())])
-PAIR, CELL = 0, 1
+_MET = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("members", pa.int64()),
+                  ("payload", pa.binary())])
 
 
 def _met(keys: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs to verify (kind 0: classes a, b) and members of large keys (kind 1: cell a, class b)."""
+    """Pairs to verify (PAIR: classes a, b), members of large keys (CELL: cell a, class b), and NAMES as they came."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
         at = None
-        for part, payload in rows_of(batches, "part", "payload"):
+        for part, kind, payload in rows_of(batches, "part", "kind", "payload"):
+            if kind == NAMES:
+                yield pa.record_batch([pa.array([x], f.type) for x, f in zip((NAMES, None, None, None, payload), _MET, strict=True)], schema=_MET)
+                continue
             if part != at and held:
                 yield from _meeting(held, measure)
                 held = []
@@ -173,7 +208,7 @@ def _met(keys: DataFrame, measure: Measure) -> DataFrame:
         if held:
             yield from _meeting(held, measure)
     return (keys.repartition("part").sortWithinPartitions("part")
-            .mapInArrow(run, "kind int, a long, b long, members long"))
+            .mapInArrow(run, "kind int, a long, b long, members long, payload binary"))
 
 
 def _meeting(held: list[bytes], measure: Measure) -> Iterator[pa.RecordBatch]:
@@ -220,7 +255,8 @@ def _meeting(held: list[bytes], measure: Measure) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(kind: int, a: np.ndarray, b: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(members)], schema=_MET)
+    return pa.record_batch([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(members),
+                            pa.nulls(len(a), pa.binary())], schema=_MET)
 
 
 _SETS = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
@@ -237,18 +273,17 @@ def _sets(rows: DataFrame, needed: DataFrame, measure: Measure) -> DataFrame:
             order = np.argsort(target, kind="stable")
             for own in np.split(order, np.flatnonzero(np.diff(target[order])) + 1):
                 body = [texts[i] for i in own.tolist()]
-                yield (int(target[own[0]]), packed(numbers[own], np.fromiter(map(len, body), np.uint32, len(body)),
+                yield (int(target[own[0]]), KEYS, packed(numbers[own], np.fromiter(map(len, body), np.uint32, len(body)),
                                                    zstandard.ZstdCompressor(level=3).compress(b"".join(body))))
 
         def out() -> Iterator[tuple]:
-            ids, texts, size = [], [], 0
-            for doc_id, text in rows_of(batches, "id", "text"):
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text)
-                if size >= CHUNK_BYTES:
+            ids, texts = [], []
+            for number, (more_ids, more) in enumerate(_slices(batches), 1):
+                ids += more_ids
+                texts += more
+                if number % PACKED_SLICES == 0:
                     yield from pack(ids, texts)
-                    ids, texts, size = [], [], 0
+                    ids, texts = [], []
             if ids:
                 yield from pack(ids, texts)
         yield from batches_of(out(), _PACKS)
@@ -261,15 +296,14 @@ def _sets(rows: DataFrame, needed: DataFrame, measure: Measure) -> DataFrame:
         def out() -> Iterator[tuple]:
             for payload in packs["payload"].to_pylist() if names else ():
                 ids, sizes, body = unpacked(payload)
-                for doc_id, text in zip(ids.tolist(), split_words(sizes, zstandard.ZstdDecompressor().decompress(body)), strict=True):
-                    if names.get(doc_id):
-                        own = measure.shingles(text, hashes)
-                        if (name := class_of(own)) in names[doc_id]:
-                            names[doc_id].discard(name)
-                            yield name, len(own), own.tobytes()
+                own = [(i, t) for i, t in zip(ids.tolist(), split_words(sizes, zstandard.ZstdDecompressor().decompress(body)), strict=True) if i in names]
+                for (doc_id, _), found in zip(own, measure.shingles([t for _, t in own], hashes), strict=True):
+                    if (name := class_of(found)) in names[doc_id]:
+                        names[doc_id].discard(name)
+                        yield name, len(found), found.tobytes()
         return pa.Table.from_batches(list(batches_of(out(), _SETS)), _SETS)
 
-    packs = rows.mapInArrow(cut, "part int, payload binary")
+    packs = rows.mapInArrow(cut, "part int, kind int, payload binary")
     wanted = needed.select(F.coalesce("id", F.lit(0)).alias("id"), "class").withColumn("part", F.pmod("id", F.lit(parts)).cast("int"))
     return packs.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(fetch, "class long, n long, shingles binary")
 
@@ -292,6 +326,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _likely(pairs: DataFrame, signs: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs whose bitmaps allow enough overlap: a node pair of two leaves."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple]:
+            for a, b, m, n, x, y in rows_of(batches, "a", "b", "m", "n", "x", "y"):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                while len(x) > len(y):
+                    x = x[:len(x) // 2] | x[len(x) // 2:]
+                while len(y) > len(x):
+                    y = y[:len(y) // 2] | y[len(y) // 2:]
+                spare = min(m - int(np.bitwise_count(x).sum()), n - int(np.bitwise_count(y).sum()))
+                if int(np.bitwise_count(x & y).sum()) + spare >= measure.needed(m, n):
+                    yield a, b
+        yield from batches_of(out(), schema)
+    left = signs.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x"))
+    right = signs.select(F.col("class").alias("b"), "n", F.col("bits").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y").mapInArrow(run, "a long, b long")
+
+
 class Tree:
     """A signature tree: level 0 are the members; a node is the OR of eight below it."""
 
@@ -350,19 +405,14 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def _unconnected(met: DataFrame, sets: DataFrame, roots: DataFrame, measure: Measure) -> DataFrame:
+def _unconnected(met: DataFrame, signs: DataFrame, roots: DataFrame, measure: Measure) -> DataFrame:
     """Candidate pairs between classes of large keys that are not connected yet."""
-    signed = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
     pairs = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     cells = (met.filter(F.col("kind") == CELL).select(F.col("a").alias("cell"), F.col("b").alias("class"), "members").distinct()
              .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
              .withColumn("root", F.coalesce("root", "class")))
     split = cells.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("cell")
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of(((name, n, bitmap(np.frombuffer(s, np.uint64)).tobytes())
-                               for name, n, s in rows_of(batches, "class", "n", "shingles")), signed)
-
     def traverse(table: pa.Table) -> pa.Table:
         names, roots_of, sizes = (table[c].to_numpy() for c in ("class", "root", "n"))
         raw = table["bits"].to_pylist()
@@ -387,25 +437,33 @@ def _unconnected(met: DataFrame, sets: DataFrame, roots: DataFrame, measure: Mea
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("class"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    placed = (cells.join(split, "cell").join(sets.mapInArrow(sign, "class long, n long, bits binary"), "class")
+    placed = (cells.join(split, "cell").join(signs.select("class", "n", "bits"), "class")
               .select("*", block.alias("own")).select("*", other.alias("other"))
               .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}))
     return placed.groupBy("cell", "low", "high").applyInArrow(traverse, "a long, b long").distinct()
 
 
+def _owners(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """(id, class): a document for each class of the pairs."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    return signs.join(wanted, "class").select("id", "class")
+
+
 def joined(docs: DataFrame, words: int = 4, least: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document."""
     measure, rows = Measure(words, least), id_text(docs, id_col, text_col)
-    named = stored(classes(rows, measure), "shingle-classes")
     met = stored(_met(_keys(rows, measure, common_shingles(rows, measure)), measure), "shingle-keys")
-    pairs = met.filter(F.col("kind") == PAIR).select("a", "b").distinct()
-    wanted = met.select(F.explode(F.when(F.col("kind") == PAIR, F.array("a", "b")).otherwise(F.array("b"))).alias("class")).distinct()
-    owners = named.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"))
-    sets = stored(_sets(rows, owners.join(wanted, "class").select("id", "class"), measure), "shingle-sets")
+    named = _named(met)
+    signs = stored(named.filter("n > 0").groupBy("class").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.max("bits").alias("bits")), "shingle-signatures")
+    pairs = stored(_likely(met.filter(F.col("kind") == PAIR).select("a", "b").distinct(), signs, measure), "shingle-pairs")
+    sets = stored(_sets(rows, _owners(pairs, signs), measure), "shingle-sets")
     near = stored(_verified(pairs, sets, measure), "shingle-links")
-    rest = _verified(_unconnected(met, sets, components(near), measure), sets, measure)
+    more = stored(_unconnected(met, signs, components(near), measure), "shingle-pairs")
+    missing = _owners(more, signs).join(sets.select("class"), "class", "left_anti").select("id", "class")
+    rest = _verified(more, sets.unionByName(_sets(rows, missing, measure)), measure)
     roots = components(near.unionByName(rest))
-    placed = (named.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+    placed = (named.select("id", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
               .withColumn("root", F.coalesce("root", "class")).withColumn("linked", F.col("n") > 0))
     tops = placed.filter("linked").groupBy("root").agg(F.min("id").alias("top"))
     return placed.join(tops, "root", "left").select(
