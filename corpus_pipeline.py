@@ -1,14 +1,56 @@
-"""A training corpus from raw documents: each stage's rows are written and read by the next."""
+"""A training corpus from raw documents: each stage's rows are written and read by the next.
+
+Every stage works on all rows that its predecessor kept and returns the columns of
+documents, the last one the packed pieces. Nulls, repeated rows and empty tables are
+handled as the operators' docstrings say; an id that several rows share is judged with
+the row it stands in wherever a stage decides by the text alone, and as one document
+where groups are formed.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyhouse.llm import jaccard, packing, quality, queries, substring, toxicity
 from tallyhouse.llm.common import stored
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: Words to a shingle and least similarity, in hundredths, of near duplicates here.
+SHINGLE_WORDS, LEAST_SIMILARITY = 5, 80
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not score as toxic."""
+    return toxicity.filtered(docs, queries.toxic_grammar(spark, sf_dir))
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, with their texts as they were."""
+    return quality.filtered(docs)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates."""
+    groups = jaccard.joined(docs, SHINGLE_WORDS, LEAST_SIMILARITY)
+    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
+    return docs.join(gone.distinct(), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti").dropDuplicates(["doc_id"])
+
+
+def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand in an earlier one; other columns stay, n_chars is counted anew."""
+    return substring.rewritten(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens in as few sequences as possible."""
+    return packing.packed(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxic), ("quality", good), ("near_duplicates", distinct), ("passages", without_passages), ("packing", packed)]
 
 #: No SQL: learned weights, similarity joins and packing are tested against brute force.
 ORACLE_SQL: str | None = None

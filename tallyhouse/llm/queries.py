@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, jaccard, langid, lm, packing, quality, shards, substring, toxicity
+from tallyhouse.llm import bpe, jaccard, langid, lm, packing, quality, shards, substring, toxicity, vectors
 from tallyhouse.llm.common import held_out, remainder_is
 
 
@@ -29,6 +29,10 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(documents(spark, sf_dir))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.93)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
@@ -71,7 +75,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_substring": op3_substring, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
+    "op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_substring": op3_substring,
+    "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
     "op7_packing": op7_packing, "op8_langid": op8_langid, "op9_lm": op9_lm, "op10_toxicity": op10_toxicity,
 }
 

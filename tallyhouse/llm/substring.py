@@ -29,7 +29,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallyhouse.llm.common import (WordHashes, batches_of, from_planes, id_text, packed, planes, rows_of,
+from tallyhouse.llm.common import (WordHashes, batches_of, from_planes, id_text, packed, planes, quoted, rows_of,
                                    shuffle_partitions, split_words, stored, unpacked, window_hashes)
 
 #: Words of a window.
@@ -307,3 +307,19 @@ def digests(docs: DataFrame, window: int = WINDOW, **columns) -> DataFrame:
                    "doc_id long, n_words long, n_removed long, kept_sha256 string", arrow, window, **columns)
 
 
+def rewritten(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the kept words in place of each text that lost any; other columns as they were.
+
+    Only changed texts travel back to their rows, found by id and the text's hash.
+    """
+    arrow = pa.schema([("_id", pa.int64()), ("_old", pa.string()), ("_kept", pa.string())])
+
+    def changed(words: list[bytes], gone: np.ndarray) -> tuple:
+        return hashlib.sha256(b" ".join(words)).hexdigest(), _kept(words, gone).decode() if gone.any() else None
+    found = repeats(docs, changed, "_id long, _old string, _kept string", arrow, window, id_col, text_col)
+    found = stored(found.filter("_kept is not null").dropDuplicates(["_id", "_old"]), "passages")
+    text = F.col(quoted(text_col))
+    blank = F.trim(F.regexp_replace(text, "[ \\t-\\r]+", " "), F.lit(" "))
+    keyed = docs.withColumn("_key", F.sha2(blank, 256))
+    same = keyed[quoted(id_col)].eqNullSafe(found["_id"]) & (keyed["_key"] == found["_old"])
+    return keyed.join(found, same, "left").withColumn(text_col, F.coalesce("_kept", text)).select(*map(quoted, docs.columns))
