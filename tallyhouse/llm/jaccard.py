@@ -240,7 +240,7 @@ def _meeting(held: list[bytes], measure: Measure) -> Iterator[pa.RecordBatch]:
         name = int(np.uint64(xxhash.xxh3_64_intdigest(owner[head:head + m].tobytes())).view(np.int64))
         if name not in cells:
             cells[name] = (head, m)
-            for step in (1, 2):  # neighbours by size
+            for step in (1, 2, 3):  # neighbours by size
                 firsts.append(np.arange(head, head + m - step))
                 seconds.append(np.arange(head + step, head + m))
     if firsts:
@@ -397,8 +397,8 @@ def traversed(a: Tree, b: Tree, measure: Measure) -> Iterator[tuple[np.ndarray,
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Token bitmap of two to four bits for each shingle, as 64-bit words."""
-    width = 1 << max(6, int(len(shingles) * 2 - 1).bit_length())
+    """Token bitmap of 8 to 16 bits for each shingle, as 64-bit words."""
+    width = 1 << max(6, int(len(shingles) * 8 - 1).bit_length())
     places = (shingles & np.uint64(width - 1)).astype(np.int64)
     bits = np.zeros(width // 8, np.uint8)
     np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))

@@ -81,7 +81,7 @@ def test_trees_keep_every_pair_that_may_link():
         own = np.concatenate([base[draw.random(120) > 0.06], draw.integers(0, 1 << 62, draw.integers(0, 12), dtype=np.uint64)])
         sets.append(np.unique(own if draw.random() < 0.6 else draw.integers(0, 1 << 62, 120, dtype=np.uint64)))
     sizes = np.array([len(s) for s in sets])
-    bits = np.stack([jaccard.bitmap(s)[:4] if len(jaccard.bitmap(s)) == 4 else np.zeros(4, np.uint64) for s in sets])
+    bits = np.stack([b if len(b := jaccard.bitmap(s)) == 16 else np.zeros(16, np.uint64) for s in sets])
     own = np.flatnonzero(bits.any(1))
     tree = jaccard.Tree(bits[own], sizes[own], np.arange(len(own)))
     pairs = {(own[a], own[b]) for i, j in jaccard.traversed(tree, tree, measure) for a, b in zip(i, j, strict=True)}
