@@ -36,7 +36,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates."""
     groups = jaccard.joined(docs, SHINGLE_WORDS, LEAST_SIMILARITY)
     gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti").dropDuplicates(["doc_id"])
+    return docs.join(gone.distinct(), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from tallyhouse.llm.common import CACHE_ENTRIES, batches_of, id_text, quoted, ro
 SAMPLE_DOCS = 16_000
 
 #: Evidence (documents times log odds) and log odds that make a word or stem a term.
-LEAST_EVIDENCE, LEAST_ODDS = 18.0, 1.5
+LEAST_EVIDENCE, LEAST_ODDS = 18.0, 3.0
 
 #: Lengths of stems in characters.
 STEMS = range(4, 9)
@@ -172,10 +172,17 @@ def fitted(rows: np.ndarray, decay: float = 1.0, steps: int = 30) -> tuple[float
     x, y = np.hstack([rows[:, :3], np.ones((len(rows), 1))]), rows[:, 3]
     weights = np.zeros(4)
     penalty = np.diag([decay, decay, decay, 0.01])
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + w @ penalty @ w / 2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (y - p) - penalty @ weights
-        weights += np.clip(np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, slope), -2, 2)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ weights)
+        size = 1.0
+        while size > 1e-6 and loss(weights + size * step) > loss(weights):
+            size /= 2
+        weights = weights + size * step
     return tuple(float(w) for w in weights)
 
 
