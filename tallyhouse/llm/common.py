@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tallyhouse.session import new_folder
 
 #: Most entries that a worker keeps in a cache of words; a full cache starts anew.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 
 
 def quoted(name: str) -> str:

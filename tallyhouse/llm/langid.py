@@ -140,7 +140,7 @@ class CodeLengths:
         return found
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _code_lengths(models: tuple[tuple[str, bytes], ...]) -> CodeLengths:
     return CodeLengths(dict(models))
 

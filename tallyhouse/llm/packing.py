@@ -24,11 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyhouse.llm.common import CACHE_ENTRIES, batches_of, id_text, rows_of, shuffle_partitions, stored
+from tallyhouse.llm.common import batches_of, id_text, rows_of, shuffle_partitions, stored
 
 #: Pieces that one task may hold and pack at once: some 50 bytes each.
 TASK_PIECES = 200_000
 
+#: Stretches of text whose ids a worker keeps; a full cache starts anew.
+CACHED_WORDS = 400_000
+
 #: Partitions whose open bins meet in one task of the next round.
 FAN_IN = 32
 
@@ -53,7 +56,7 @@ class WordIds(dict):
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE_ENTRIES:
+        if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = list(words)
         for word, found in zip(new, _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):

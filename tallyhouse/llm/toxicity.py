@@ -186,7 +186,7 @@ def fitted(rows: np.ndarray, decay: float = 1.0, steps: int = 30) -> tuple[float
     return tuple(float(w) for w in weights)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)  # a worker that is used again drops the grammar before
 def _loaded(state: bytes) -> Grammar:
     return pickle.loads(state)
 
