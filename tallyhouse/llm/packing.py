@@ -30,7 +30,7 @@ from tallyhouse.llm.common import batches_of, id_text, rows_of, shuffle_partitio
 TASK_PIECES = 200_000
 
 #: Stretches of text whose ids a worker keeps; a full cache starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 #: Partitions whose open bins meet in one task of the next round.
 FAN_IN = 32

@@ -37,7 +37,7 @@ from tallyhouse.llm.common import (WordHashes, batches_of, from_planes, id_text,
 WINDOW = 20
 
 #: Bytes of text to a chunk; a longer document is a chunk by itself.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _CHUNKS = "chunk long, payload binary"
 _CHUNK_ARROW = pa.schema([("chunk", pa.int64()), ("payload", pa.binary())])
