@@ -23,7 +23,8 @@ CREDIT_TRADE_TYPES = ("6", "7", "8", "9")
 OPEN_CONTRACT = "0"
 QUOTE_PREFIXES = {"G": "HK:", "S": "HK:", "2": "SZ:", "9": "SZ:", "1": "SH:"}
 
-AMOUNT_TYPE = "decimal(18,4)"
+#: Amounts of up to 26 digits before the point; products and sums use all 38 digits.
+AMOUNT_TYPE = "decimal(30,4)"
 
 
 def _parsed(df: DataFrame, name: str) -> Column:

@@ -16,10 +16,6 @@ CONTRACT_SOURCE = "COMPACT"
 HOLDING_INDEXES = {"STOCKREAL": "hs_secu_stockreal", "CRDTSTOCKREAL": "hs_crdt_crdtstockreal",
                    "SECUMREAL": "hs_prod_secumreal"}
 
-#: Hits a match returns unless told otherwise, and documents a delete removes.
-MATCH_SIZE = 1000
-DELETE_SIZE = 10
-
 
 def doc_route(events: DataFrame) -> DataFrame:
     """Events as documents of the index they belong to; others are left out.
@@ -52,9 +48,10 @@ def doc_upsert(documents: DataFrame) -> DataFrame:
     return keep_last(documents, ["index", "doc_id"], "offset")
 
 
-def doc_match(documents: DataFrame, column: str, value: str, size: int = MATCH_SIZE) -> DataFrame:
-    """At most ``size`` documents whose ``column`` is ``value``, lowest ids first."""
-    return documents.filter(F.col(column) == value).orderBy("doc_id", "index").limit(size)
+def doc_match(documents: DataFrame, column: str, value: str, size: int | None = None) -> DataFrame:
+    """Documents whose ``column`` is ``value``; with ``size`` the lowest ids only."""
+    hits = documents.filter(F.col(column) == value)
+    return hits if size is None else hits.orderBy("doc_id", "index").limit(size)
 
 
 def doc_match_all(documents: DataFrame, index: str) -> DataFrame:
@@ -81,16 +78,14 @@ def doc_terms_sum(documents: DataFrame, column: str) -> DataFrame:
     return documents.groupBy(column).agg(F.sum("occur_balance").alias("occur_balance"))
 
 
-def doc_delete(documents: DataFrame, condition: Column, size: int | None = DELETE_SIZE) -> DataFrame:
-    """The documents left after deleting at most ``size`` that meet ``condition``.
+def doc_delete(documents: DataFrame, condition: Column, size: int | None = None) -> DataFrame:
+    """The documents left after deleting those that meet ``condition``.
 
-    The lowest ids go first. ``size=None`` deletes all that meet it.
+    With ``size`` at most so many go, the lowest ids first.
     """
     doomed = F.coalesce(condition, F.lit(False))
     if size is None:
         return documents.filter(~doomed)
     keys = ["index", "doc_id"]
     first = documents.filter(doomed).select(*keys).orderBy("doc_id", "index").limit(size)
-    # At most ``size`` rows, so this may always be broadcast.
-    small = F.broadcast(first) if size <= 100_000 else first
-    return documents.join(small, keys, "left_anti")
+    return documents.join(first, keys, "left_anti")

@@ -21,9 +21,6 @@ from pyspark.sql import types as T
 #: Broadcast no lookup whose planned size is above this many bytes.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
-#: Never treat more keys than this as heavy; bounds the list sent to the tasks.
-MAX_HEAVY_KEYS = 10_000
-
 #: Pieces of a heavy key per shuffle partition that it would fill on average.
 PIECES = 4
 
@@ -43,20 +40,19 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], sample: float = 0.01) -> Data
     """Keys that would fill more than one average shuffle partition, with ``_salts``.
 
     ``_salts`` is the number of pieces, so that a piece is a fraction of a partition
-    whatever the size of the data. Collected once (at most :data:`MAX_HEAVY_KEYS`
-    rows), because both sides of the salted join must agree on the list. Shares add
+    whatever the size of the data. Collected once, because both sides of
+    the salted join must agree on the list; a listed key has more than one partition's
+    share of the sample, so there are fewer keys than partitions. Shares add
     up to 1, so the lookup grows by at most about ``PIECES`` rows per partition.
     """
     parts = shuffle_partitions(df)
     sampled = df.select(*keys)
     if sample < 1.0:
         sampled = sampled.sample(sample, seed=7)
-    top = (sampled.groupBy(*keys).agg(F.count("*").alias("n"))
-           .orderBy(F.desc("n"), *keys).limit(MAX_HEAVY_KEYS).collect())
-    # Shares are of the rows of the listed keys: not below those of the whole sample.
-    listed = sum(row["n"] for row in top)
-    heavy = [(*(row[k] for k in keys), math.ceil(PIECES * parts * row["n"] / listed))
-             for row in top if row["n"] > 1 and row["n"] * parts > listed]
+    counts = sampled.groupBy(*keys).agg(F.count("*").alias("n"))
+    total = sampled.count()
+    top = counts.filter((F.col("n") > 1) & (F.col("n") * parts > total)).collect()
+    heavy = [(*(row[k] for k in keys), math.ceil(PIECES * parts * row["n"] / total)) for row in top]
     schema = T.StructType([*df.select(*keys).schema, T.StructField("_salts", T.IntegerType())])
     return df.sparkSession.createDataFrame(heavy, schema)
 

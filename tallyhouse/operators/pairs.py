@@ -7,17 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Longest list :func:`pair_with` accepts.
-MAX_VALUES = 1000
-
 
 def pair_with(df: DataFrame, values: Sequence, name: str) -> DataFrame:
     """Each row of ``df`` once per value, the value in column ``name``.
 
-    The product of two unbounded tables is not offered; with a list of checked
-    length the result grows linearly with ``df`` and needs no shuffle.
+    The product of two unbounded tables is not offered; with a list
+    the result grows linearly with ``df`` and needs no shuffle.
     """
-    if len(values) > MAX_VALUES:
-        raise ValueError(f"{len(values)} values; at most {MAX_VALUES} can be paired")
     literals = F.array(*[F.lit(v) for v in values])
     return df.withColumn(name, F.explode(literals))

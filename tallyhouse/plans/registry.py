@@ -115,12 +115,12 @@ _DOC_COLUMNS = ('index, doc_id, "offset", fund_account, money_type, '
                 'cast(occur_balance as double) as occur_balance, time_load')
 
 
-def _valued(spark: SparkSession, sf_dir: str, book: str | None = None) -> DataFrame:
+def _valued(spark: SparkSession, sf_dir: str, book: str | None = None, **lookup) -> DataFrame:
     positions = shape(spark, sf_dir, "fx_positions")
     if book is not None:
         positions = positions.filter(F.col("book") == book)
     return valuation.position_market_value(positions, shape(spark, sf_dir, "fx_prices"),
-                                           keys_from=lambda: shape(spark, sf_dir, "fx_position_keys"))
+                                           keys_from=lambda: shape(spark, sf_dir, "fx_position_keys"), **lookup)
 
 
 # --- sources ---------------------------------------------------------------
@@ -161,13 +161,22 @@ def position_quantity(spark, sf_dir):
     return as_doubles(valuation.position_quantity(shape(spark, sf_dir, "fx_positions")))
 
 
-@query(f"""with {_VALUED}
+_POSITION_VALUE = f"""with {_VALUED}
 select book, fund_account, stock_code, exchange_type, money_type, cast(quantity as double) as quantity,
-       cast(price as double) as price, cast(quantity * price as double) as market_value from valued""")
+       cast(price as double) as price, cast(quantity * price as double) as market_value from valued"""
+
+
+@query(_POSITION_VALUE)
 def position_market_value(spark, sf_dir):
     return as_doubles(_valued(spark, sf_dir))
 
 
+@query(_POSITION_VALUE)
+def position_market_value_salted(spark, sf_dir):
+    """The way taken when the prices are too large to broadcast."""
+    return as_doubles(_valued(spark, sf_dir, broadcast_limit=-1))
+
+
 _STOCK_VALUE = f"""with {_VALUED}
 select book, fund_account, stock_code, money_type, cast(sum(quantity * price) as double) as market_value
 from valued group by book, fund_account, stock_code, money_type"""
@@ -453,13 +462,9 @@ def bank_transfer_merge(spark, sf_dir):
 def _run_orders(spark, sf_dir) -> tuple[str, str]:
     root = new_folder(spark, "orders")
     inbox, seen, totals = (f"{root}/{part}" for part in ("inbox", "seen", "totals"))
-    # Keys are many and small: a few parts of state per core are enough.
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                2 * spark.sparkContext.defaultParallelism)
     replay.replay(fixtures.change_messages(spark, sf_dir), inbox,
                   lambda: orders.start_orders(file_messages(spark, inbox), seen, totals,
-                                              f"{root}/checkpoint", every=None,
-                                              state_partitions=parts))
+                                              f"{root}/checkpoint", every=None))
     return seen, totals
 
 
@@ -543,8 +548,7 @@ def doc_upsert(spark, sf_dir):
     return as_doubles(_documents(spark, sf_dir))
 
 
-@query(f"""with {_DOCS} select {_DOC_COLUMNS} from docs where fund_account = '{ACCOUNT}'
-order by doc_id, index limit {documents.MATCH_SIZE}""")
+@query(f"with {_DOCS} select {_DOC_COLUMNS} from docs where fund_account = '{ACCOUNT}'")
 def doc_match(spark, sf_dir):
     return as_doubles(documents.doc_match(_documents(spark, sf_dir), "fund_account", ACCOUNT))
 
@@ -580,10 +584,7 @@ def doc_terms_sum(spark, sf_dir):
     return as_doubles(documents.doc_terms_sum(_documents(spark, sf_dir), "fund_account"))
 
 
-@query(f"""with {_DOCS}, doomed as (select index, doc_id from docs where fund_account = '{ACCOUNT}'
-  order by doc_id, index limit {documents.DELETE_SIZE})
-select {_DOC_COLUMNS} from docs d where not exists
-  (select 1 from doomed x where x.index = d.index and x.doc_id = d.doc_id)""")
+@query(f"with {_DOCS} select {_DOC_COLUMNS} from docs where coalesce(fund_account <> '{ACCOUNT}', true)")
 def doc_delete(spark, sf_dir):
     return as_doubles(documents.doc_delete(_documents(spark, sf_dir),
                                            F.col("fund_account") == ACCOUNT))

@@ -57,7 +57,7 @@ COLUMN_INFO = _text("POSITION_STR", "COMPACT_ID", "FUND_ACCOUNT", "MONEY_TYPE",
                     "INIT_DATE", "CURR_TIME", "BUSINESS_BALANCE", "OCCUR_BALANCE",
                     "_corrupt_record")
 
-MONEY = T.DecimalType(18, 4)
+MONEY = T.DecimalType(30, 4)
 
 FIRST_SEEN = T.StructType([
     T.StructField("position_str", T.StringType()),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions import rules
-from tallyhouse.operators.lookup import planned_bytes
 
 
 def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -29,18 +28,6 @@ def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df if columns is None else df.select(*columns)
 
 
-def spread_small(df: DataFrame, least: int = 1 << 20, most: int = 1 << 24) -> DataFrame:
-    """Deal the rows of a small table out to all cores.
-
-    A table of one row group is read by one task however many cores there are. Only
-    tables between the two planned sizes are shuffled; a large one has enough row
-    groups and is left as it is.
-    """
-    if not least <= planned_bytes(df) <= most:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def scan_jdbc(spark: SparkSession, url: str, query: str, *, split_on: str | None = None,
               lower: int | None = None, upper: int | None = None, splits: int | None = None,
               **options) -> DataFrame:

@@ -5,6 +5,7 @@ from check_queries import compare, connect
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
+from tallyhouse.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, con, name):
     ok, got, want, _ = compare(spark, con, SF_DIR, name)
     assert ok, f"{name}: {got} rows, SQL has {want}"
@@ -26,4 +27,5 @@ def test_entry(spark):
 
 
 def test_only_run_reports_have_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"offset_progress", "run_log"}
+    assert set(registry.QUERIES) - set(registry.ORACLES) == {"offset_progress", "run_log"}
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.ORACLES) <= set(entry.oracle_sql())

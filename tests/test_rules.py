@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas
 from tallyhouse.functions import rules
 from tallyhouse.operators import (documents, income, keepone, pairs, quotes, snapshots, valuation)
-from tallyhouse.sources.tables import observed, row_counts, spread_small
+from tallyhouse.sources.tables import observed, row_counts
 
 
 def D(text):
@@ -194,8 +194,6 @@ def test_keep_one_with_null_order(spark):
 def test_pairs(spark):
     df = spark.range(2)
     assert rows(pairs.pair_with(df, [6, 7], "v")) == [(0, 6), (0, 7), (1, 6), (1, 7)]
-    with pytest.raises(ValueError):
-        pairs.pair_with(df, range(pairs.MAX_VALUES + 1), "v")
 
 
 def documents_frame(spark):
@@ -233,8 +231,13 @@ def test_row_counts(spark):
     assert rows(row_counts({"a": spark.range(3), "b": spark.range(0)})) == [("a", 3), ("b", 0)]
 
 
-def test_spread_small_leaves_other_sizes_alone(spark):
-    df = spark.range(0, 1000, 1, 1)
-    assert spread_small(df, least=1, most=1 << 20).rdd.getNumPartitions() == 8
-    assert spread_small(df, least=1 << 20).rdd.getNumPartitions() == 1
-    assert spread_small(df, least=1, most=2).rdd.getNumPartitions() == 1
+def test_matches_and_deletes_have_no_limit(spark):
+    docs = spark.range(1001).selectExpr("cast(id as string) doc_id", "'x' index", "'acct' fund_account")
+    assert documents.doc_match(docs, "fund_account", "acct").count() == 1001
+    assert documents.doc_delete(docs, F.col("fund_account") == "acct").count() == 0
+
+
+def test_long_amounts_are_read(spark):
+    df = spark.createDataFrame([("100000000000000.00",), ("12345678901234567890.5",)], "v string")
+    found = [r[0] for r in df.select(rules.amount(df, "v")).collect()]
+    assert found == [D("100000000000000"), D("12345678901234567890.5")]
