@@ -200,6 +200,7 @@ def scored(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _loaded(state.value)
         yield from batches_of(((doc_id, own.score(text.decode())) for doc_id, text in rows_of(batches, "id", "text")), schema)
+        own.known.clear()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
@@ -217,5 +218,6 @@ def filtered(docs: DataFrame, grammar: Grammar, most: float = 0.5, text_col: str
         own = _loaded(state.value)
         for batch in batches:
             yield batch.filter(pa.array([own.score(text or "") < most for text in batch.column(place).to_pylist()], pa.bool_()))
+        own.known.clear()
 
     return named.mapInArrow(run, named.schema).toDF(*columns)
