@@ -38,8 +38,9 @@ from tallyhouse.llm.graph import components
 #: Classes under one key up to which all their pairs are leaves of one node.
 LEAF = 8
 
-#: Members of a key whose trees one task holds; larger keys are cut into blocks, which meet in pairs.
-BLOCK = 4096
+#: Shingles of the members of a key that one block holds, 8 bytes each; larger keys are
+#: cut into blocks, which meet in pairs.
+BLOCK_SHINGLES = 1 << 22
 
 #: Documents that common shingles are found in. The sample only orders shingles: any order gives the same links.
 SAMPLE_DOCS, COMMON = 5000, 5
@@ -80,6 +81,11 @@ class Measure:
         """Whether the sizes alone allow a link."""
         return 100 * np.minimum(a, b) >= self.least * np.maximum(a, b)
 
+    def linked(self, x: np.ndarray, y: np.ndarray) -> bool:
+        """Whether two sets, sorted and not empty, are similar enough."""
+        same = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        return 100 * same >= self.least * (len(x) + len(y) - same)
+
 
 def class_of(shingles: np.ndarray) -> int:
     """Signed 64-bit hash of a set."""
@@ -315,10 +321,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[tuple]:
             for a, b, x, y in rows_of(batches, "a", "b", "x", "y"):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                same = int((y[at] == x).sum())
-                if 100 * same >= measure.least * (len(x) + len(y) - same):
+                if measure.linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)):
                     yield a, b
         yield from batches_of(out(), schema)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -405,42 +408,68 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def _unconnected(met: DataFrame, signs: DataFrame, roots: DataFrame, measure: Measure) -> DataFrame:
-    """Candidate pairs between classes of large keys that are not connected yet."""
-    pairs = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    cells = (met.filter(F.col("kind") == CELL).select(F.col("a").alias("cell"), F.col("b").alias("class"), "members").distinct()
+def _split_cells(met: DataFrame, signs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, class, root, blocks): members of large keys whose classes are not all connected yet."""
+    cells = (met.filter(F.col("kind") == CELL).select(F.col("a").alias("cell"), F.col("b").alias("class")).distinct()
              .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-             .withColumn("root", F.coalesce("root", "class")))
-    split = cells.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("cell")
-
-    def traverse(table: pa.Table) -> pa.Table:
-        names, roots_of, sizes = (table[c].to_numpy() for c in ("class", "root", "n"))
-        raw = table["bits"].to_pylist()
-        widths = np.array([len(b) for b in raw])
-        trees: dict[int, tuple[Tree, np.ndarray]] = {}
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for width in np.unique(widths).tolist():
-            own = np.flatnonzero(widths == width)
-            own = own[np.lexsort((sizes[own], roots_of[own]))]
-            bits = np.frombuffer(b"".join(raw[k] for k in own.tolist()), np.uint64).reshape(len(own), -1)
-            trees[width] = tree, _ = Tree(bits, sizes[own], roots_of[own]), own
-            found += [(own[i], own[j]) for i, j in traversed(tree, tree, measure)]
-            if width // 2 in trees:  # the wider bitmaps folded onto the narrower ones
-                half, narrow = trees[width // 2]
-                folded = Tree(bits[:, :bits.shape[1] // 2] | bits[:, bits.shape[1] // 2:], sizes[own], roots_of[own])
-                found += [(narrow[i], own[j]) for i, j in traversed(half, folded, measure)]
-        if not found:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        a, b = names[np.concatenate([f[0] for f in found])], names[np.concatenate([f[1] for f in found])]
-        return pa.Table.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=pairs)
-
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    placed = (cells.join(split, "cell").join(signs.select("class", "n", "bits"), "class")
-              .select("*", block.alias("own")).select("*", other.alias("other"))
-              .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}))
-    return placed.groupBy("cell", "low", "high").applyInArrow(traverse, "a long, b long").distinct()
+             .withColumn("root", F.coalesce("root", "class")).join(signs.select("class", "n"), "class"))
+    blocks = F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    split = (cells.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"), blocks)
+             .filter("low <> high").select("cell", "blocks"))
+    return cells.join(split, "cell").select("cell", "class", "root", "blocks")
+
+
+def _forest(table: pa.Table, measure: Measure) -> pa.Table:
+    """Links among the members of a block pair that connect groups not connected before."""
+    names, roots_of, sizes = (table[c].to_numpy() for c in ("class", "root", "n"))
+    sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
+    group = dict.fromkeys(roots_of.tolist())
+
+    def top(root: int) -> int:
+        while group[root] is not None:
+            root = group[root]
+        return root
+
+    links: list[tuple[int, int]] = []
+
+    def verify(i: np.ndarray, j: np.ndarray) -> None:
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            one, other = top(int(roots_of[a])), top(int(roots_of[b]))
+            if one != other and measure.linked(sets[a], sets[b]):
+                group[max(one, other)] = min(one, other)
+                links.append((int(min(names[a], names[b])), int(max(names[a], names[b]))))
+
+    bits = [bitmap(s) for s in sets]
+    widths = np.array([len(b) for b in bits])
+    trees: dict[int, tuple[Tree, np.ndarray]] = {}
+    for width in np.unique(widths).tolist():
+        own = np.flatnonzero(widths == width)
+        own = own[np.lexsort((sizes[own], roots_of[own]))]
+        rows = np.stack([bits[k] for k in own.tolist()])
+        trees[width] = tree, _ = Tree(rows, sizes[own], roots_of[own]), own
+        for i, j in traversed(tree, tree, measure):
+            verify(own[i], own[j])
+        if width // 2 in trees:  # the wider bitmaps folded onto the narrower ones
+            half, narrow = trees[width // 2]
+            folded = Tree(rows[:, :width // 2] | rows[:, width // 2:], sizes[own], roots_of[own])
+            for i, j in traversed(half, folded, measure):
+                verify(narrow[i], own[j])
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _connecting(cells: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+    """Links (a, b) between classes of large keys that were not connected yet.
+
+    A cell's blocks meet in pairs. A task traverses the trees of its block pair and
+    verifies their leaves on whole sets; it gives only links that connect something, so
+    neither a group of copies nor one of near misses makes a row for each of its pairs.
+    """
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = (cells.join(sets, "class").select("*", block.alias("own")).select("*", other.alias("other"))
+              .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+              .select("cell", "low", "high", "class", "root", "n", "shingles"))
+    return placed.groupBy("cell", "low", "high").applyInArrow(lambda t: _forest(t, measure), "a long, b long").distinct()
 
 
 def _owners(pairs: DataFrame, signs: DataFrame) -> DataFrame:
@@ -459,9 +488,10 @@ def joined(docs: DataFrame, words: int = 4, least: int = 85, id_col: str = "doc_
     pairs = stored(_likely(met.filter(F.col("kind") == PAIR).select("a", "b").distinct(), signs, measure), "shingle-pairs")
     sets = stored(_sets(rows, _owners(pairs, signs), measure), "shingle-sets")
     near = stored(_verified(pairs, sets, measure), "shingle-links")
-    more = stored(_unconnected(met, signs, components(near), measure), "shingle-pairs")
-    missing = _owners(more, signs).join(sets.select("class"), "class", "left_anti").select("id", "class")
-    rest = _verified(more, sets.unionByName(_sets(rows, missing, measure)), measure)
+    cells = stored(_split_cells(met, signs, components(near)), "shingle-cells")
+    members = signs.join(cells.select("class").distinct(), "class").select("id", "class")
+    missing = members.join(sets.select("class"), "class", "left_anti").select("id", "class")
+    rest = stored(_connecting(cells, sets.unionByName(_sets(rows, missing, measure)), measure), "shingle-links")
     roots = components(near.unionByName(rest))
     placed = (named.select("id", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
               .withColumn("root", F.coalesce("root", "class")).withColumn("linked", F.col("n") > 0))
