@@ -3,15 +3,18 @@
 Words are segmented in every way that an existing subword vocabulary allows; the
 weights of the pieces make each segmentation's probability, and the forward recursion
 in log space adds them all up. The vocabulary's own scores (it ranks its pieces) start
-the weights, as a Zipf law; one expectation step over all distinct training words,
-weighted by their counts, re-estimates them. A text is its words, each followed by the
-decision to go on, and its end.
+the weights, as a Zipf law; one expectation step over all distinct training words, each
+once, re-estimates them, since pieces have to spell what training never saw whole. Every
+training word is an arc of its own across its lattice, weighted by its count, and the
+pieces share what Witten and Bell's estimate leaves to new words: with ``c`` of ``n``
+training words and ``v`` distinct ones, ``c / (n + v) + v / (n + v) * lattice``. A text is
+its words, each followed by the decision to go on, and its end.
 
 Every distinct word of the corpus is counted and scored once, in the partition its hash
 names (:mod:`exchange`). The driver sees one number per vocabulary piece.
 
 Null and empty texts are the end alone. Without training rows no token is known and the
-weights are the vocabulary's. Rows that repeat are scored each by itself; an empty table
+weights are the vocabulary's alone. Rows that repeat are scored each by itself; an empty table
 gives an empty result; other columns do not take part.
 """
 
@@ -192,11 +195,11 @@ def trained(cut: DataFrame, documents: int, vocab_path: str) -> Statistics:
         _totals((payload for (payload,) in rows_of(batches, "payload")), counts)
         known = [(w, n) for w, n in counts.items() if n]
         vocab = vocabulary(vocab_path)
-        expected, often = np.zeros(len(vocab.start)), np.array([n for _, n in known], float)
-        for members, group in _by_length([w for w, _ in known]):
-            expected += Lattices(group, vocab).expected(vocab.start, often[members])
+        expected = np.zeros(len(vocab.start))
+        for _, group in _by_length([w for w, _ in known]):
+            expected += Lattices(group, vocab).expected(vocab.start, np.ones(len(group)))
         used = np.flatnonzero(expected)
-        rows = [(-1, float(often.sum())), (-2, float(len(known))), *zip(used.tolist(), expected[used].tolist(), strict=True)]
+        rows = [(-1, float(sum(n for _, n in known))), (-2, float(len(known))), *zip(used.tolist(), expected[used].tolist(), strict=True)]
         yield from batches_of(iter(rows), schema)
 
     words = cut.filter(F.col("kind") == exchange.WORDS).repartition("part").select("payload")
@@ -234,6 +237,7 @@ def scored(docs: DataFrame, vocab_path: str, learned: Callable[[int | None], boo
     ending = (found.documents + 1) / (found.tokens + 2)
     go_on, stop = math.log10(1 - ending), math.log10(ending)
     base = math.log10(found.tokens + found.distinct + 1)
+    n_words, n_kinds = found.tokens - found.documents, found.distinct - (found.documents > 0)
 
     def answer(packs: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         held, counts = list(packs), Counter()
@@ -241,7 +245,12 @@ def scored(docs: DataFrame, vocab_path: str, learned: Callable[[int | None], boo
         words = list(counts)
         places = dict(zip(words, range(len(words)), strict=True))
         often = np.fromiter(counts.values(), np.int64, len(words))
-        scores = word_scores(words, vocabulary(vocab_path), shared.value) / math.log(10)
+        scores = word_scores(words, vocabulary(vocab_path), shared.value)
+        if n_words:
+            with np.errstate(divide="ignore"):  # a word that was never seen has no arc
+                whole = np.log(often / (n_words + n_kinds))
+            scores = np.logaddexp(whole, scores + math.log(n_kinds / (n_words + n_kinds)))
+        scores /= math.log(10)
         for key, payload in held:
             at = np.fromiter(map(places.__getitem__, exchange.words_in(payload)[0]), np.int64)
             yield key, packed(often[at], scores[at])
