@@ -40,7 +40,7 @@ LEAF = 8
 
 #: Shingles of the members of a key that one block holds, 8 bytes each; larger keys are
 #: cut into blocks, which meet in pairs.
-BLOCK_SHINGLES = 1 << 22
+BLOCK_SHINGLES = 1 << 19
 
 #: Documents that common shingles are found in. The sample only orders shingles: any order gives the same links.
 SAMPLE_DOCS, COMMON = 5000, 5
@@ -408,68 +408,111 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def _split_cells(met: DataFrame, signs: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cell, class, root, blocks): members of large keys whose classes are not all connected yet."""
+def _cells(met: DataFrame, signs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, class, n, bits, root, blocks): members of large keys that are not all connected yet."""
     cells = (met.filter(F.col("kind") == CELL).select(F.col("a").alias("cell"), F.col("b").alias("class")).distinct()
              .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-             .withColumn("root", F.coalesce("root", "class")).join(signs.select("class", "n"), "class"))
-    blocks = F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
-    split = (cells.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"), blocks)
-             .filter("low <> high").select("cell", "blocks"))
-    return cells.join(split, "cell").select("cell", "class", "root", "blocks")
+             .withColumn("root", F.coalesce("root", "class")).join(signs.select("class", "n", "bits"), "class"))
+    return cells.join(_blocks(cells), "cell")
 
 
-def _forest(table: pa.Table, measure: Measure) -> pa.Table:
-    """Links among the members of a block pair that connect groups not connected before."""
-    names, roots_of, sizes = (table[c].to_numpy() for c in ("class", "root", "n"))
-    sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
-    group = dict.fromkeys(roots_of.tolist())
+def _blocks(cells: DataFrame) -> DataFrame:
+    """(cell, blocks) of the cells whose members are of several roots."""
+    return (cells.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                      F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+            .filter("low <> high").select("cell", "blocks"))
 
-    def top(root: int) -> int:
-        while group[root] is not None:
-            root = group[root]
-        return root
 
-    links: list[tuple[int, int]] = []
+def _in_block_pairs(cells: DataFrame, run, *columns: str) -> DataFrame:
+    """(a, b) that ``run`` makes of the members of each two blocks of a cell, and of each block alone."""
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = (cells.select("*", block.alias("own")).select("*", other.alias("other"))
+              .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+              .select("cell", "low", "high", *columns))
+    return placed.groupBy("cell", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
-    def verify(i: np.ndarray, j: np.ndarray) -> None:
-        for a, b in zip(i.tolist(), j.tolist(), strict=True):
-            one, other = top(int(roots_of[a])), top(int(roots_of[b]))
-            if one != other and measure.linked(sets[a], sets[b]):
-                group[max(one, other)] = min(one, other)
-                links.append((int(min(names[a], names[b])), int(max(names[a], names[b]))))
 
-    bits = [bitmap(s) for s in sets]
+def _leaves(bits: list[np.ndarray], sizes: np.ndarray, groups: np.ndarray, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that the dual traversal reaches, one tree for each width of bitmaps."""
     widths = np.array([len(b) for b in bits])
     trees: dict[int, tuple[Tree, np.ndarray]] = {}
     for width in np.unique(widths).tolist():
         own = np.flatnonzero(widths == width)
-        own = own[np.lexsort((sizes[own], roots_of[own]))]
+        own = own[np.lexsort((sizes[own], groups[own]))]
         rows = np.stack([bits[k] for k in own.tolist()])
-        trees[width] = tree, _ = Tree(rows, sizes[own], roots_of[own]), own
+        trees[width] = tree, _ = Tree(rows, sizes[own], groups[own]), own
         for i, j in traversed(tree, tree, measure):
-            verify(own[i], own[j])
+            yield own[i], own[j]
         if width // 2 in trees:  # the wider bitmaps folded onto the narrower ones
             half, narrow = trees[width // 2]
-            folded = Tree(rows[:, :width // 2] | rows[:, width // 2:], sizes[own], roots_of[own])
+            folded = Tree(rows[:, :width // 2] | rows[:, width // 2:], sizes[own], groups[own])
             for i, j in traversed(half, folded, measure):
-                verify(narrow[i], own[j])
-    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+                yield narrow[i], own[j]
+
+
+class Forest:
+    """Groups of numbers that are joined two at a time."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (up := self.above.get(x, x)) != x:
+            self.above[x] = self.above.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the two were apart."""
+        x, y = self.top(x), self.top(y)
+        if x != y:
+            self.above[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _table(pairs: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([min(p) for p in pairs], pa.int64()), "b": pa.array([max(p) for p in pairs], pa.int64())})
 
 
-def _connecting(cells: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
-    """Links (a, b) between classes of large keys that were not connected yet.
+def _maybe(table: pa.Table, measure: Measure) -> pa.Table:
+    """Edges that join what the leaf pairs join, at most one for each member."""
+    names, groups, sizes = (table[c].to_numpy() for c in ("class", "root", "n"))
+    bits, forest = [np.frombuffer(b, np.uint64) for b in table["bits"].to_pylist()], Forest()
+    return _table([(int(names[a]), int(names[b])) for i, j in _leaves(bits, sizes, groups, measure)
+                   for a, b in zip(i.tolist(), j.tolist(), strict=True) if forest.join(a, b)])
 
-    A cell's blocks meet in pairs. A task traverses the trees of its block pair and
-    verifies their leaves on whole sets; it gives only links that connect something, so
-    neither a group of copies nor one of near misses makes a row for each of its pairs.
+
+def _surely(table: pa.Table, measure: Measure) -> pa.Table:
+    """Links that join groups, at most one for each member: the leaf pairs verified on whole sets."""
+    names, groups, sizes = (table[c].to_numpy() for c in ("class", "root", "n"))
+    sets, forest = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()], Forest()
+    roots, links = groups.tolist(), []
+    for i, j in _leaves([bitmap(s) for s in sets], sizes, groups, measure):
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            if forest.top(roots[a]) != forest.top(roots[b]) and measure.linked(sets[a], sets[b]):
+                forest.join(roots[a], roots[b])
+                links.append((int(names[a]), int(names[b])))
+    return _table(links)
+
+
+def _connecting(rows: DataFrame, met: DataFrame, signs: DataFrame, roots: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+    """Links (a, b) between classes of large keys that ``roots`` has not connected.
+
+    Leaf pairs of the keys' trees, of bitmaps, join classes to candidate groups; a class
+    is in one group only, so its set travels once. A group's own trees are traversed
+    again and their leaves verified. Both steps give edges that join something, never a
+    row for each pair: near misses cost time in their task and no rows.
     """
-    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = (cells.join(sets, "class").select("*", block.alias("own")).select("*", other.alias("other"))
-              .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-              .select("cell", "low", "high", "class", "root", "n", "shingles"))
-    return placed.groupBy("cell", "low", "high").applyInArrow(lambda t: _forest(t, measure), "a long, b long").distinct()
+    edges = stored(_in_block_pairs(_cells(met, signs, roots), lambda t: _maybe(t, measure), "class", "n", "bits", "root"), "shingle-edges")
+    groups = stored(components(edges).select(F.col("node").alias("class"), F.col("root").alias("cell"))
+                    .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+                    .withColumn("root", F.coalesce("root", "class")), "shingle-groups")
+    members = signs.join(groups.select("class"), "class").select("id", "class")
+    missing = members.join(sets.select("class"), "class", "left_anti").select("id", "class")
+    whole = groups.join(sets.unionByName(_sets(rows, missing, measure)), "class")
+    split = _blocks(groups.join(signs.select("class", "n"), "class"))
+    return _in_block_pairs(whole.join(split, "cell"), lambda t: _surely(t, measure), "class", "n", "shingles", "root")
 
 
 def _owners(pairs: DataFrame, signs: DataFrame) -> DataFrame:
@@ -488,10 +531,7 @@ def joined(docs: DataFrame, words: int = 4, least: int = 85, id_col: str = "doc_
     pairs = stored(_likely(met.filter(F.col("kind") == PAIR).select("a", "b").distinct(), signs, measure), "shingle-pairs")
     sets = stored(_sets(rows, _owners(pairs, signs), measure), "shingle-sets")
     near = stored(_verified(pairs, sets, measure), "shingle-links")
-    cells = stored(_split_cells(met, signs, components(near)), "shingle-cells")
-    members = signs.join(cells.select("class").distinct(), "class").select("id", "class")
-    missing = members.join(sets.select("class"), "class", "left_anti").select("id", "class")
-    rest = stored(_connecting(cells, sets.unionByName(_sets(rows, missing, measure)), measure), "shingle-links")
+    rest = stored(_connecting(rows, met, signs, components(near), sets, measure), "shingle-links")
     roots = components(near.unionByName(rest))
     placed = (named.select("id", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
               .withColumn("root", F.coalesce("root", "class")).withColumn("linked", F.col("n") > 0))
