@@ -18,7 +18,8 @@ HOLDING_INDEXES = {"STOCKREAL": "hs_secu_stockreal", "CRDTSTOCKREAL": "hs_crdt_c
 
 
 def doc_route(events: DataFrame) -> DataFrame:
-    """Events as documents of the index they belong to; others are left out.
+    """Events as documents of the index they belong to; others are left out, and so are
+    those without an id, which would pass for one document.
 
     Journal events carry their amount; holdings and contracts only mark that the
     key changed, with amount 0.
@@ -34,6 +35,7 @@ def doc_route(events: DataFrame) -> DataFrame:
     wanted = F.col("corrupt").isNull() & F.upper("oper_type").isin(*rules.JOURNAL_OPERATIONS)
     return (events.filter(wanted)
             .withColumn("index", index).filter("index is not null")
+            .filter(F.when(is_contract, F.col("compact_id")).otherwise(F.col("position_str")).isNotNull())
             .select("index",
                     F.when(is_contract, F.col("compact_id")).otherwise(F.col("position_str"))
                     .alias("doc_id"),

@@ -41,14 +41,24 @@ def parse_events(messages: DataFrame) -> DataFrame:
 
 
 def rejected_events(events: DataFrame) -> DataFrame:
-    """Where each unreadable message came from, with its text."""
-    return (events.filter(F.col("corrupt").isNotNull())
-            .select("topic", "partition", "offset", "corrupt"))
+    """Messages that the order and transfer jobs want and cannot use: where each came from
+    and why, with the text of those that do not parse.
+
+    Orders and transfers without a key, and orders without a time, are left out of their
+    tables too: all rows without a key would pass for one.
+    """
+    is_order = rules.is_order_event()
+    reason = (F.when(F.col("corrupt").isNotNull(), "unreadable")
+              .when((is_order | rules.is_transfer_event()) & F.col("position_str").isNull(), "no key")
+              .when(is_order & rules.entrust_time().isNull(), "no time"))
+    return (events.select("topic", "partition", "offset", reason.alias("reason"), "corrupt")
+            .filter("reason is not null"))
 
 
 def order_events(events: DataFrame) -> DataFrame:
     """Order inserts and updates with their second and value."""
-    return (events.filter(F.col("corrupt").isNull() & rules.is_order_event())
+    usable = F.col("position_str").isNotNull() & rules.entrust_time().isNotNull()
+    return (events.filter(F.col("corrupt").isNull() & rules.is_order_event() & usable)
             .select("position_str", "offset", "timeload", rules.entrust_time().alias("entrust_time"),
                     F.col("business_balance").alias("balance")))
 
@@ -86,7 +96,8 @@ def transfer_events(events: DataFrame) -> DataFrame:
     Only the journal's own events: transfers reported by the bank's table are left
     out, as the running job does.
     """
-    return (events.filter(F.col("corrupt").isNull() & rules.is_transfer_event())
+    usable = F.col("corrupt").isNull() & F.col("position_str").isNotNull()
+    return (events.filter(usable & rules.is_transfer_event())
             .select("position_str", "offset", F.col("timeload").alias("load_time"),
                     F.col("occur_balance").alias("balance"), "fund_account", "money_type"))
 

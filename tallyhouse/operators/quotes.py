@@ -27,23 +27,31 @@ def quote_explode(answers: DataFrame, value: str = "value") -> DataFrame:
 
 
 def quote_upsert(prices: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Prices with ``market_price`` replaced where a quote came in.
-
-    ``quotes`` has (stock_code, exchange_type, market_price) and may have ``seq``;
-    the greatest wins if a key is quoted twice. A quote without a number is left out;
-    one for an unknown key makes a new row without an ``asset_price``. Stacked and aggregated, which is the full
-    outer join of the two with one shuffle and no sort of the whole rows.
+    """Prices with ``market_price`` replaced where a quote came in; other columns stay.
+
+    A price key that repeats keeps the row of the last row key, as the valuation does.
+    ``quotes`` has (stock_code, exchange_type, market_price) and may have ``seq``; the
+    greatest wins if a key is quoted twice, the higher price at one ``seq``. A quote
+    without a number is left out; one for an unknown key makes a new row whose other
+    columns are null. Stacked and aggregated, which is the full outer join of the two
+    with one shuffle and no sort of the whole rows.
     """
     keys = ["stock_code", "exchange_type"]
+    rest = [c for c in prices.columns if c not in (*keys, "market_price")]
+    row = F.struct(*rest, "market_price") if rest else F.struct("market_price")
+    order = F.col("rowkey") if "rowkey" in prices.columns else F.struct(*rest, "market_price")
     seq = F.col("seq").cast("long") if "seq" in quotes.columns else F.lit(0).cast("long")
-    old = prices.select(*keys, "asset_price", "market_price",
-                        F.lit(0).alias("_new"), F.lit(0).cast("long").alias("_seq"))
-    new = quotes.filter("market_price is not null").select(*keys, F.lit(None).cast(old.schema["asset_price"].dataType)
-                        .alias("asset_price"),
-                        F.col("market_price").cast(old.schema["market_price"].dataType),
-                        F.lit(1).alias("_new"), seq.alias("_seq"))
-    order = F.struct("_new", "_seq", "market_price")
-    is_old = F.col("_new") == 0
-    return (old.unionByName(new).groupBy(*keys).agg(
-        F.max(F.when(is_old, F.col("asset_price"))).alias("asset_price"),
-        F.max_by("market_price", order).alias("market_price")))
+    price_type, quote_type = prices.schema["market_price"].dataType, quotes.schema["market_price"].dataType
+    old = prices.select(*keys, row.alias("_row"), F.struct(order.alias("_by")).alias("_order"),
+                        F.lit(None).cast(quote_type).alias("_quote"), F.lit(None).cast("long").alias("_seq"))
+    new = (quotes.filter("market_price is not null")
+           .select(*keys, F.lit(None).cast(old.schema["_row"].dataType).alias("_row"),
+                   F.lit(None).cast(old.schema["_order"].dataType).alias("_order"),
+                   F.col("market_price").alias("_quote"), seq.alias("_seq")))
+    quoted = F.col("_quote").isNotNull()
+    merged = old.unionByName(new).groupBy(*keys).agg(
+        F.max_by("_row", "_order").alias("_row"),
+        F.max(F.when(quoted, F.struct("_seq", "_quote"))).alias("_new"))
+    return merged.select(*[F.col(c) if c in keys else
+                           F.coalesce(F.col("_new._quote").cast(price_type), F.col("_row.market_price")).alias(c)
+                           if c == "market_price" else F.col(f"_row.{c}").alias(c) for c in prices.columns])

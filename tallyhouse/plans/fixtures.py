@@ -205,6 +205,15 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "BUSINESS_BALANCE": "balance", "OCCUR_BALANCE": "balance"})
 
 
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages, one in fifty cut off and one in fifty without a key."""
+    place = F.col("offset") % 50
+    whole = change_messages(spark, sf_dir)
+    keyless = F.regexp_replace("value", "POSITION_STR", "OTHER_STR")
+    return whole.withColumn("value", F.when(place == 7, F.substring("value", 1, 20))
+                            .when(place == 8, keyless).otherwise(F.col("value")))
+
+
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of the indexed tables as JSON messages."""
     return _json_messages(shape(spark, sf_dir, "fx_doc_cdc"), {

@@ -22,7 +22,7 @@ from tallyhouse.session import new_folder
 from tallyhouse.sinks.keyed import lookup, read_for_date, write_for_date, write_keyed
 from tallyhouse.sources.messages import file_messages
 from tallyhouse.sources.tables import row_counts, scan_table
-from tallyhouse.streaming import orders, progress, replay, transfers
+from tallyhouse.streaming import orders, progress, rejects, replay, transfers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,6 +254,20 @@ def trade_net_credit(spark, sf_dir):
     return as_doubles(valuation.trade_net_credit(shape(spark, sf_dir, "fx_trades")))
 
 
+#: A date on which trades of both kinds were made, whatever the size of the tables.
+TRADE_DATE = "19950610"
+
+
+@query(_NET_TRADE.replace("group by", f"and init_date = '{TRADE_DATE}' group by") % "'0'")
+def trade_net_of_date(spark, sf_dir):
+    return as_doubles(valuation.trade_net(shape(spark, sf_dir, "fx_trades"), TRADE_DATE))
+
+
+@query(_NET_TRADE.replace("group by", f"and init_date = '{TRADE_DATE}' group by") % "'6','7','8','9'")
+def trade_net_credit_of_date(spark, sf_dir):
+    return as_doubles(valuation.trade_net_credit(shape(spark, sf_dir, "fx_trades"), TRADE_DATE))
+
+
 @query("""select fund_account || '_' || stock_code || '_' || money_type as stock_key,
        fund_account || '_' || money_type as account_key from fx_positions""")
 def key_format(spark, sf_dir):
@@ -410,6 +424,26 @@ def entrust_time(spark, sf_dir):
                                          rules.entrust_time().alias("entrust_time"))
 
 
+_REJECTS = f"""select 'trades' as topic, cast(0 as integer) as "partition", event_id as "offset",
+       case when event_id % 50 = 7 then 'unreadable' else 'no key' end as reason
+from fx_cdc where event_id % 50 = 7 or event_id % 50 = 8 and (({_IS_ORDER}) or ({_IS_TRANSFER}))"""
+
+
+@query(_REJECTS)
+def cdc_rejects(spark, sf_dir):
+    parsed = events.parse_events(fixtures.broken_messages(spark, sf_dir))
+    return events.rejected_events(parsed).drop("corrupt")
+
+
+@query(_REJECTS)
+def cdc_rejects_stream(spark, sf_dir):
+    root = new_folder(spark, "rejects")
+    inbox, path = f"{root}/inbox", f"{root}/table"
+    replay.replay(fixtures.broken_messages(spark, sf_dir), inbox,
+                  lambda: rejects.start_rejects(file_messages(spark, inbox), path, f"{root}/checkpoint", every=None))
+    return rejects.read_rejects(spark, path).drop("corrupt")
+
+
 def _orders(spark, sf_dir):
     return events.order_events(_events(spark, sf_dir))
 

@@ -95,6 +95,14 @@ DOCUMENTS = T.StructType([
     T.StructField("time_load", T.StringType()),
 ])
 
+REJECTS = T.StructType([
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("corrupt", T.StringType()),
+])
+
 RUN_LOG = T.StructType([
     T.StructField("step_name", T.StringType()),
     T.StructField("start_time", T.StringType()),

@@ -42,6 +42,16 @@ def test_unreadable_messages_are_set_aside(spark):
     assert rows(events.order_events(df), "offset") == [(1,)]
 
 
+def test_orders_without_key_or_time_are_rejected(spark):
+    df = parsed(spark, message(1), message(2, POSITION_STR=None), message(3, POSITION_STR=None),
+                message(4, INIT_DATE=None), message(5, table="FUNDJOUR", POSITION_STR=None),
+                message(6, table="OTHER", POSITION_STR=None))
+    assert rows(events.rejected_events(df), "offset", "reason") == [
+        (2, "no key"), (3, "no key"), (4, "no time"), (5, "no key")]
+    assert rows(events.order_events(df), "offset") == [(1,)]
+    assert rows(events.transfer_events(df), "offset") == []
+
+
 def test_bad_time_is_null(spark):
     assert rows(parsed(spark, message(1, time="yesterday")), "load_ts") == [(None,)]
 

@@ -185,6 +185,16 @@ def test_quote_upsert(spark):
         ("a", "1", "10", "9"), ("b", "1", "20", "21"), ("c", "1", "30", "31"), ("z", "1", None, "5")]
 
 
+def test_quote_upsert_keeps_the_last_row_whole(spark):
+    old = frame(spark, "rowkey stock_code exchange_type money_type asset_price market_price",
+                ("1", "a", "1", "0", "9.5", None), ("2", "a", "1", "2", "10.2", None), ("3", "b", "1", "0", "5", "6"))
+    new = frame(spark, "stock_code exchange_type market_price", ("b", "1", "7"))
+    got = quotes.quote_upsert(old, new)
+    assert got.columns == old.columns
+    assert rows(got) == [("2", "a", "1", "2", "10.2", None), ("3", "b", "1", "0", "5", "7")]
+    assert rows(quotes.quote_upsert(got, new)) == rows(got)
+
+
 def test_keep_one_with_null_order(spark):
     df = frame(spark, "", ("a", 2, "x"), ("a", 1, "y"), ("b", None, "z"), types="k string, o int, v string")
     assert rows(keepone.keep_last(df, ["k"], "o")) == [("a", 2, "x"), ("b", None, "z")]
