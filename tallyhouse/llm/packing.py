@@ -32,6 +32,9 @@ TASK_PIECES = 200_000
 #: Stretches of text whose ids a worker keeps; a full cache starts anew.
 CACHED_WORDS = 250_000
 
+#: Stretches that are encoded in one call, whose results are held at once.
+BLOCK_WORDS = 4000
+
 #: Partitions whose open bins meet in one task of the next round.
 FAN_IN = 32
 
@@ -59,8 +62,10 @@ class WordIds(dict):
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = list(words)
-        for word, found in zip(new, _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
+        for first in range(0, len(new), BLOCK_WORDS):
+            block = new[first:first + BLOCK_WORDS]
+            for word, found in zip(block, _tokenizer(self.path).encode_batch_fast(block, add_special_tokens=False), strict=True):
+                self[word] = np.array(found.ids, "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=2)
