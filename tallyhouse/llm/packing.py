@@ -30,7 +30,7 @@ from tallyhouse.llm.common import batches_of, id_text, rows_of, shuffle_partitio
 TASK_PIECES = 200_000
 
 #: Stretches of text whose ids a worker keeps; a full cache starts anew.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 700_000
 
 #: Stretches that are encoded in one call, whose results are held at once.
 BLOCK_WORDS = 4000
