@@ -49,7 +49,8 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id
                        F.col(quoted(lang_col)).cast("string").alias("lang")).filter("text is not null and lang is not null")
     rates = rows.groupBy("lang").agg(F.least(F.lit(1.0), sample_docs / F.count("*")).alias("rate"))
     spot = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.col("rate") * (1 << 30)
-    sample = rows.join(rates, "lang").filter(spot).select("lang", "text")
+    # One row a language, as of the models, which every task holds: rows outside the sample are never shuffled.
+    sample = rows.join(F.broadcast(rates), "lang").filter(spot).select("lang", "text")
 
     def count(table: pa.Table) -> pa.Table:
         runs = [_runs(text.encode()) for text in table["text"].to_pylist()]
