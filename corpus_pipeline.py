@@ -2,9 +2,9 @@
 
 Every stage works on all rows that its predecessor kept and returns the columns of
 documents, the last one the packed pieces. Nulls, repeated rows and empty tables are
-handled as the operators' docstrings say; an id that several rows share is judged with
-the row it stands in wherever a stage decides by the text alone, and as one document
-where groups are formed.
+handled as the operators' docstrings say; rows that share an id, or have none, are
+documents of their own where a stage decides by the text alone and where near
+duplicates are grouped.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from tallyhouse.llm.common import stored
 #: Words to a shingle and least similarity, in hundredths, of near duplicates here.
 SHINGLE_WORDS, LEAST_SIMILARITY = 5, 80
 
+#: Column of the rows' own numbers among near duplicates.
+ROW = "near_duplicates_row"
+
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not score as toxic."""
@@ -33,10 +36,16 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates."""
-    groups = jaccard.joined(docs, SHINGLE_WORDS, LEAST_SIMILARITY)
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti").dropDuplicates(["doc_id", "text"])
+    """One row of each group of near duplicates: of the smallest id, nulls last, and of those the first.
+
+    Groups are formed of rows, each under a stored number of its own, so null and shared
+    ids tie no rows together. Rows without words are in no group and all stay.
+    """
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    groups = jaccard.joined(rows, SHINGLE_WORDS, LEAST_SIMILARITY, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))
+    kept = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first.alias("first")).select(f"first.{ROW}")
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,3 +27,21 @@ def test_stages(spark, corpus, tmp_path):
     packed = corpus_pipeline.packed(spark, docs, str(tmp_path))
     assert {r["doc_id"] for r in packed.collect()} == {i for i, _ in seen["passages"]}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == packed.count()
+
+
+def test_near_duplicates_go_by_row(spark, tmp_path):
+    base = [f"w{n}" for n in range(60)]
+    near, other, third = " ".join(base), " ".join(f"o{n}" for n in range(60)), " ".join(f"t{n}" for n in range(60))
+    close, closer = " ".join([*base, "x"]), " ".join([*base, "x", "y"])
+    alone = [(None, " ".join(f"n{k}-{n}" for n in range(60))) for k in range(3)]
+    nulls = [(None, " ".join([*(f"m{n}" for n in range(60)), *tail])) for tail in ([], ["x"], ["x", "y"])]
+    rows = [(None, close), (7, near), (7, closer), (7, other), (3, other), (5, third), (5, third), *alone, *nulls]
+
+    def left(some):
+        frame = spark.createDataFrame([(i, t, 1) for i, t in some], "doc_id long, text string, n_chars long").repartition(3)
+        return sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.distinct(spark, frame, str(tmp_path)).collect()), key=repr)
+    found = left(rows)
+    assert len(found) == 7 and set(alone) <= set(found) and {(3, other), (5, third)} <= set(found)
+    assert sum(row in nulls for row in found) == 1 and sum(row in [(7, near), (7, closer)] for row in found) == 1
+    odd = [(None, "a b c d e"), (7, "a b c d e"), (7, "other words are here now"), (3, "Other words ARE here now"), (7, "a b c d e")]
+    assert left(odd) == sorted([(7, "a b c d e"), (3, "Other words ARE here now")], key=repr)
