@@ -42,15 +42,14 @@ FAN_IN = 32
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class WordIds(dict):
     """Ids, as little-endian 32-bit numbers, of stretches of text between blanks.
 
-    The vocabulary's pre-tokens never span white space, so a stretch is encoded alone.
+    The vocabulary's pre-tokens and added tokens never span white space, so a stretch is
+    encoded alone; an added token that stands in it is read as the library reads it.
     """
 
     def __init__(self, path: str) -> None:

@@ -176,6 +176,17 @@ def test_packing(docs, corpus, empty):
     assert packing.packed(packing.pieces(empty, path)).count() == 0
 
 
+def test_packing_reads_added_tokens_as_the_library(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["one <|endoftext|> two", "a<|startoftext|>b\n<|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "x<|endoftext|><|endoftext|>'s"]
+    found = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert want[0] == [637, 49407, 1237, 1]
+    assert sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in found) == [
+        (i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in enumerate(want)]
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_bound_and_best_fit(seed):
     lengths = np.random.default_rng(seed).integers(1, 100, 40)
