@@ -38,6 +38,9 @@ BLOCK_WORDS = 4000
 #: Partitions whose open bins meet in one task of the next round.
 FAN_IN = 32
 
+#: Last round that a sequence id has room for.
+LAST_ROUND = 63
+
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
@@ -157,11 +160,18 @@ _PACKED = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
 def _packed_part(room: int, number: int):
     """Pack one partition. Bins stay where the bound certifies their number or where they
     are full; of the others the least-filled ones, as many as there are bins above the
-    bound and one more, give up their pieces."""
+    bound and one more, give up their pieces. Where a round saves none of the bins that
+    were brought together, the bound is out of reach: all but the two least-filled stay."""
     def run(table: pa.Table) -> pa.Table:
         lengths = table["length"].to_numpy()
         bin_of, offset, fill = best_fit(lengths, room)
         gap = len(fill) - lower_bound(lengths, room)
+        if number:
+            held = np.stack([table["held_part"].to_numpy(), table["held_bin"].to_numpy()])
+            before, old = np.unique(held, axis=1, return_inverse=True)
+            if len(fill) >= before.shape[1]:
+                bin_of, offset, gap = old.ravel(), table["held_offset"].to_numpy(), 0
+                fill = np.bincount(bin_of, lengths).astype(np.int64)
         slack = np.argsort(fill, kind="stable")[:2 * gap + 2]
         settled = np.ones(len(fill), bool)
         settled[slack[fill[slack] < room]] = False
@@ -176,8 +186,9 @@ def packed(cut: DataFrame, room: int = 4096) -> DataFrame:
     """``cut`` (as of :func:`pieces`) with sequence_id and offset.
 
     Rounds: all pieces in partitions of at most TASK_PIECES on average; then the
-    unsettled bins of FAN_IN partitions together, until they fit one partition. Every
-    round is written, so no round is packed twice with different results.
+    unsettled bins of FAN_IN partitions together, or of fewer where they would have more
+    than TASK_PIECES, until they fit one partition. Every round is written, so no round
+    is packed twice with different results.
     """
     spark = cut.sparkSession
     cut = stored(cut, "pieces")
@@ -190,14 +201,16 @@ def packed(cut: DataFrame, room: int = 4096) -> DataFrame:
     settled, number = [], 0
     while True:
         done = stored(open_pieces.groupBy("part").applyInArrow(_packed_part(room, number), _PACKED), f"packed-{number}")
-        if parts == 1:
+        left = done.filter("not settled")
+        unsettled = left.count() if parts > 1 and number < LAST_ROUND else 0
+        if not unsettled:
             settled.append(done)
             break
         settled.append(done.filter("settled"))
-        parts = -(-parts // FAN_IN)
-        open_pieces = (done.filter("not settled").drop("round", "bin", "offset", "settled")
-                       .withColumn("part", F.pmod(F.col("part"), F.lit(parts))))
+        parts = max(-(-parts // FAN_IN), -(-unsettled // TASK_PIECES))
         number += 1
+        open_pieces = (left.drop("round", "settled").withColumnsRenamed({n: f"held_{n}" for n in ("part", "bin", "offset")})
+                       .withColumn("part", F.pmod(F.xxhash64("held_part", "held_bin", F.lit(number)), F.lit(parts))))
     result = functools.reduce(DataFrame.unionByName, settled)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     # 6 bits of the round, 32 of the partition and 25 of the bin; full pieces below zero.

@@ -187,6 +187,23 @@ def test_packing_reads_added_tokens_as_the_library(spark):
         (i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in enumerate(want)]
 
 
+def test_packing_rounds_keep_tasks_small(spark, monkeypatch):
+    rounds = []
+
+    def stored(df, purpose, write=packing.stored):
+        df = write(df, purpose)
+        rounds.extend([df] if purpose.startswith("packed-") else [])
+        return df
+    monkeypatch.setattr(packing, "stored", stored)
+    monkeypatch.setattr(packing, "TASK_PIECES", 50)
+    cut = spark.range(2000).selectExpr("id doc_id", "0 piece", "0L start", "35L length", "id ids_crc32")
+    found = packing.packed(cut, room=100).collect()
+    assert max(r["count"] for df in rounds for r in df.groupBy("part").count().collect()) < 150 and len(rounds) < 6
+    bins = Counter(r["sequence_id"] for r in found)
+    assert sorted(r["doc_id"] for r in found) == list(range(2000)) and len(bins) == 1000
+    assert len({(r["sequence_id"], r["offset"]) for r in found}) == 2000 and {r["offset"] for r in found} == {0, 35}
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_bound_and_best_fit(seed):
     lengths = np.random.default_rng(seed).integers(1, 100, 40)
