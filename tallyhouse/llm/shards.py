@@ -22,12 +22,17 @@ from tallyhouse.llm.common import id_text, stored
 #: Rows of a shard that are put in order together.
 BUCKET_ROWS = 4096
 
+#: Rows from which the library's hypergeometric draw refuses.
+MOST_COLOURS = 1_000_000_000
+
 
 def exact_counts(rows: list[int], shards: int, seed: int) -> np.ndarray:
     """Partition-to-shard counts with the given row sums; column sums at most one apart."""
     draw, total = np.random.default_rng(seed), sum(rows)
     left = np.full(shards, total // shards, np.int64)
     left[draw.permutation(shards)[:total % shards]] += 1
+    if total >= MOST_COLOURS:
+        return dealt_counts(rows, left, draw)
     counts = np.zeros((len(rows), shards), np.int64)
     for part, n in enumerate(rows):
         counts[part] = draw.multivariate_hypergeometric(left, n, method="marginals")
@@ -35,6 +40,28 @@ def exact_counts(rows: list[int], shards: int, seed: int) -> np.ndarray:
     return counts
 
 
+def dealt_counts(rows: list[int], sizes: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """The same law for any number of rows: every row is dealt to a shard by itself, then
+    rows of the shards that are too large, picked evenly, move to those that are too small.
+
+    No step tells one row from another, so all assignments of these sizes are as likely.
+    The rows that move are some square root of all rows.
+    """
+    shares = np.full(len(sizes), 1 / len(sizes))
+    counts = np.stack([draw.multinomial(n, shares) for n in rows])
+    over = counts.sum(0) - sizes
+    moved = []
+    for shard in np.flatnonzero(over > 0):
+        ends = np.cumsum(counts[:, shard])
+        picked = np.searchsorted(ends, draw.choice(int(ends[-1]), int(over[shard]), replace=False), side="right")
+        counts[:, shard] -= np.bincount(picked, minlength=len(rows))
+        moved.append(picked)
+    if moved:
+        targets = np.repeat(np.arange(len(sizes)), np.maximum(-over, 0))
+        np.add.at(counts, (np.concatenate(moved), draw.permutation(targets)), 1)
+    return counts
+
+
 def shuffled(docs: DataFrame, shards: int = 16, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot), one row per document.
 

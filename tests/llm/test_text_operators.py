@@ -151,6 +151,20 @@ def test_sharding_is_exact(docs, corpus, empty):
     assert matrix.sum(1).tolist() == [5, 0, 9, 3] and set(matrix.sum(0)) <= {4, 5}
 
 
+def test_sharding_of_a_billion_rows():
+    rows = [400_000_000, 7, 0, 900_000_000, 500_000_001]
+    matrix = shards.exact_counts(rows, 16, 1)
+    assert matrix.sum(1).tolist() == rows and set(matrix.sum(0)) == {sum(rows) // 16, sum(rows) // 16 + 1}
+    draw = np.random.default_rng(8)
+    seen = Counter()
+    for _ in range(20_000):
+        matrix = shards.dealt_counts([3, 1, 2], np.array([3, 3]), draw)
+        assert matrix.sum(1).tolist() == [3, 1, 2] and matrix.sum(0).tolist() == [3, 3]
+        seen[tuple(matrix[:, 0])] += 1
+    for (a, b, c), n in seen.items():
+        assert n / 20_000 == pytest.approx(math.comb(3, a) * math.comb(1, b) * math.comb(2, c) / 20, abs=0.015)
+
+
 def test_packing(docs, corpus, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
