@@ -152,6 +152,15 @@ def verdicts(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", te
 
 def filtered(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns, untouched and in one pass."""
+    return _passed(docs, rules, text_col, False)
+
+
+def cleaned(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") -> DataFrame:
+    """As :func:`filtered`, with the lines that stay as the text; other columns as they were."""
+    return _passed(docs, rules, text_col, True)
+
+
+def _passed(docs: DataFrame, rules: Rules, text_col: str, clean: bool) -> DataFrame:
     ship(docs.sparkSession)
     columns = docs.columns
     place = columns.index(text_col)
@@ -159,8 +168,11 @@ def filtered(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place).cast(pa.binary()).to_pylist()
-            yield batch.filter(pa.array([judge(text or b"", rules)[6] for text in texts], pa.bool_()))
+            found = [judge(text or b"", rules)[6:] for text in batch.column(place).cast(pa.binary()).to_pylist()]
+            kept = batch.filter(pa.array([stays for stays, _ in found], pa.bool_()))
+            if clean:
+                texts = pa.array([text for stays, text in found if stays], batch.schema.field(place).type)
+                kept = pa.record_batch([*kept.columns[:place], texts, *kept.columns[place + 1:]], schema=batch.schema)
+            yield kept
 
     return named.mapInArrow(run, named.schema).toDF(*columns)
-

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -138,6 +139,18 @@ def test_quality_lines():
     assert text[6] and text[7] == prose
 
 
+def test_quality_texts_are_cleaned(spark, docs):
+    prose = " ".join(f"Word{i} is here." for i in range(60))
+    menu = " | ".join(f"item{i}" for i in range(40))
+    rows = [(1, prose + "\n" + menu + "\nWe use a cookie here", 0), (2, prose + "\n\n", 0), (3, menu, 0), (4, None, 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    found = corpus_pipeline.good(spark, frame, "")
+    assert found.columns == frame.columns and by_id(found) == {1: (prose, len(prose)), 2: (prose + "\n\n", len(prose) + 2)}
+    judged = by_id(quality.judged(docs))
+    want = {i: v[-1] for i, v in judged.items() if v[-2]}
+    assert {r["doc_id"]: r["text"] for r in quality.cleaned(docs).collect()} == want
+
+
 def test_sharding_is_exact(docs, corpus, empty):
     found = shards.shuffled(docs, 16).collect()
     counts = Counter(r["shard"] for r in found)
