@@ -8,7 +8,7 @@ for folder in (ROOT, os.path.join(ROOT, "tests")):
     if folder not in sys.path:
         sys.path.insert(0, folder)
 
-SF_DIR = "/root/testdata/sf0.001"
+from helpers import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,13 +28,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def sf_dir():
     return SF_DIR
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted."""
-    return sorted((tuple(r) for r in df.select(*order or df.columns).collect()), key=repr)
-
-
-def plan(df, mode="formatted"):
-    """The physical plan as text."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

@@ -3,7 +3,7 @@
 import json
 from decimal import Decimal
 
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

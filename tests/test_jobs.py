@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tallyhouse import __main__ as jobs
 from tallyhouse import schemas

@@ -1,7 +1,7 @@
 """The left lookup: same rows whether broadcast or salted, and no hot task."""
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import valuation

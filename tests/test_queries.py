@@ -2,7 +2,7 @@
 
 import pytest
 from check_queries import compare, connect
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 import __spark_entry__ as entry
 from tallyhouse.plans import registry

@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tallyhouse import session
@@ -67,7 +67,7 @@ def test_snapshot_is_replaced(spark, tmp_path):
 
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
-    from conftest import SF_DIR
+    from helpers import SF_DIR
     out = str(tmp_path_factory.mktemp("run"))
     run_valuation(spark, registry._run_inputs(spark, SF_DIR), out, "20240102", of_date=False)
     return out

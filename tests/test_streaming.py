@@ -4,7 +4,7 @@ import glob
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_events import message
