@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, jaccard, langid, lm, packing, quality, shards, substring, toxicity, vectors
+from tallyhouse.llm import (bpe, fingerprints, jaccard, langid, lm, negatives, packing, quality, runs, shards, substring,
+                            toxicity, vectors)
 from tallyhouse.llm.common import held_out, remainder_is
 
 
@@ -74,11 +75,44 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(documents(spark, sf_dir))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(documents(spark, sf_dir))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mined(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), vec_id % 50 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_substring": op3_substring,
     "op4_embeddings": op4_embeddings, "op5_quality": op5_quality, "op6_sharding": op6_sharding,
     "op7_packing": op7_packing, "op8_langid": op8_langid, "op9_lm": op9_lm, "op10_toxicity": op10_toxicity,
+    "op11_fingerprints": op11_fingerprints, "op12_runs": op12_runs, "op13_negatives": op13_negatives,
 }
 
+_NEGATIVES = """with own as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * cast(x as double)) for x in embedding] as v
+  from embeddings where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from own a join own b on len(a.v) = len(b.v) and a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id) as integer) as rank,
+       n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+  and 100 * n.score between 50 * p.positive_score and 95 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id) <= 3"""
+
 #: SQL with the same rows, where SQL can express the operator.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_negatives": _NEGATIVES}
