@@ -62,7 +62,10 @@ def test_quotes(spark, tmp_path, tables):
     answers, out = str(tmp_path / "answers"), str(tmp_path / "out")
     spark.createDataFrame([("1", '{"results": [[9, "t"], [8, "new"]]}')], "exchange_type string, value string").write.parquet(answers)
     jobs.main(["quotes", "--prices", f"{tables}/prices", "--answers", answers, "--out", out])
-    assert rows(spark.read.parquet(out)) == [("new", "1", None, "8.0000"), ("s", "1", "2", "2.5"), ("t", "1", "3", "9.0000")]
+    got = spark.read.parquet(out)
+    assert rows(got, "stock_code", "exchange_type", "asset_price", "market_price") == [
+        ("new", "1", None, "8.0000"), ("s", "1", "2", "2.5"), ("t", "1", "3", "9.0000")]
+    assert set(got.columns) == set(schemas.PRICES.fieldNames()), "the other columns stay"
 
 
 @pytest.mark.parametrize("job", ["orders", "transfers", "documents"])
