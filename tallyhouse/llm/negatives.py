@@ -40,7 +40,10 @@ from tallyhouse.llm.common import packed, quoted, ship, shuffle_partitions, stor
 SHARD_ROWS, BLOCK_ROWS = 8192, 2048
 
 #: Members up to which a node is a leaf, and most children of a node.
-LEAF_ROWS, FAN = 48, 64
+LEAF_ROWS, FAN = 128, 32
+
+#: Most (query, node) pairs whose bounds are held at once.
+BOUND_PAIRS = 1 << 20
 
 #: Components from here on would give scores beyond 63 bits.
 TOO_LARGE = 1 << 26
@@ -174,19 +177,18 @@ class Cover:
         nodes = np.arange(self.roots)
         active = (labels[of][:, None] == self.label[nodes][None, :]) == same
         leaves, bounds = [], []
-        slack = 1 + 1e-9 * self.norm * length[of]
-        scale = (length * self.norm)[of]
+        scale = (length * self.norm)[:, None]
+        slack = 1 + 1e-9 * scale
         while len(nodes):
             used = active.any(0)
             nodes, active = nodes[used], active[:, used]
             if not len(nodes):
                 break
-            inner = (vectors.astype(np.float64) @ self.center[nodes].T.astype(np.float64))[of]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                angle = np.arccos(np.clip(np.where(scale[:, None] > 0, inner / scale[:, None], 0), -1, 1))
-                reach = 2 * np.arcsin(np.clip(self.radius[nodes] / (2 * self.norm), 0, 1)) if self.norm else np.zeros(len(nodes))
-            above = scale[:, None] * np.cos(np.maximum(angle - reach, 0)) + slack[:, None]
-            below = scale[:, None] * np.cos(np.minimum(angle + reach, np.pi)) - slack[:, None]
+            inner = vectors.astype(np.float64) @ self.center[nodes].T.astype(np.float64)
+            angle = np.arccos(np.clip(np.divide(inner, scale, out=np.zeros_like(inner), where=scale > 0), -1, 1))
+            reach = 2 * np.arcsin(np.clip(self.radius[nodes] / (2 * self.norm), 0, 1)) if self.norm else np.zeros(len(nodes))
+            above = (scale * np.cos(np.maximum(angle - reach, 0)) + slack)[of]
+            below = (scale * np.cos(np.minimum(angle + reach, np.pi)) - slack)[of]
             active &= (above >= low[:, None]) & (below <= high[:, None])
             leaf = self.count[nodes] == 0
             leaves.append(nodes[leaf])
@@ -238,6 +240,7 @@ def _built(group: pa.Table) -> pa.Table:
 
 def _block(group: pa.Table) -> pa.Table:
     """Queries of a block as one value; the rows of an anchor differ by slot and window only."""
+    group = group.sort_by([("row", "ascending"), ("slot", "ascending")])
     rows, first, of = np.unique(group["row"].to_numpy(), return_index=True, return_inverse=True)
     vectors = _matrix(group["vector"], group.num_rows)[first]
     value = packed(np.array([vectors.shape[1]], np.int64), rows, group["label"].to_numpy()[first], _narrow(vectors),
