@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from tallyhouse import schemas
 from tallyhouse.operators import income, quotes, snapshots
 from tallyhouse.plans.valuation_run import ACCOUNT_STOCK_CURRENCY, STEPS, run_valuation
 from tallyhouse.session import build_session
-from tallyhouse.sinks.keyed import read_for_date, write_keyed
-from tallyhouse.sources.messages import kafka_messages
+from tallyhouse.sinks.keyed import read_for_date, read_keyed, write_keyed
+from tallyhouse.sources.messages import kafka_messages, saved_offsets
 from tallyhouse.sources.tables import scan_table
-from tallyhouse.streaming import documents, orders, transfers
+from tallyhouse.streaming import documents, ledger, orders, rejects, transfers
 
 #: Stored tables a valuation reads, by the folder they are in.
 INPUTS = {"positions": schemas.POSITIONS, "credit_positions": schemas.POSITIONS,
@@ -27,7 +28,7 @@ BOOKS = {"ordinary": ("stock_value", "net_trade"), "credit": ("credit_stock_valu
 
 
 def valuation_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    inputs = {name: scan_table(spark, f"{args.tables}/{name}", schema=schema)
+    inputs = {name: read_keyed(spark, f"{args.tables}/{name}", schema)
               for name, schema in INPUTS.items()}
     run_valuation(spark, inputs, args.out, args.date, args.steps or tuple(STEPS))
 
@@ -47,7 +48,7 @@ def income_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
     held = stacked([of_date(now, book) for book, (now, _) in BOOKS.items()])
     trades = stacked([of_date(traded, book) for book, (_, traded) in BOOKS.items()])
-    last_day = stacked([spark.read.parquet(path).withColumn("book", F.lit(book))
+    last_day = stacked([read_keyed(spark, path).withColumn("book", F.lit(book))
                         for book, path in zip(BOOKS, (args.last_day, args.credit_last_day))])
     if args.account is not None:
         held, trades, last_day = (income.account_rows(df, args.account)
@@ -57,13 +58,18 @@ def income_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def quotes_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    """``answers`` holds (exchange_type, value) and, to order repeated quotes, seq."""
+    """``answers`` holds (exchange_type, value) and, to order repeated quotes, seq. The result
+    may take the place of the prices it was made from."""
     answers = quotes.quote_explode(spark.read.parquet(args.answers))
-    prices = scan_table(spark, args.prices, schema=schemas.PRICES)
+    prices = read_keyed(spark, args.prices, schemas.PRICES)
     write_keyed(quotes.quote_upsert(prices, answers), args.out, ["stock_code", "exchange_type"])
 
 
-def _messages(spark: SparkSession, args: argparse.Namespace, start: str) -> DataFrame:
+def _messages(spark: SparkSession, args: argparse.Namespace, start: str, group: str | None = None) -> DataFrame:
+    """Messages from ``start``, or from where the ledger of ``group`` ends. A row a partition is read for that."""
+    if getattr(args, "ledger", None) is not None:
+        saved = ledger.offset_progress(spark, args.ledger).filter(F.col("group_id") == group).collect()
+        start = saved_offsets(saved) or start
     return kafka_messages(spark, servers=args.servers, topics=args.topics, start=start,
                           per_trigger=args.per_trigger)
 
@@ -73,14 +79,14 @@ def orders_job(spark: SparkSession, args: argparse.Namespace) -> None:
                         args.every, args.forget_after).awaitTermination()
 
 
-def transfers_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    transfers.start_transfers(_messages(spark, args, "earliest"), args.out, args.checkpoint,
-                              args.every).awaitTermination()
+def _table_job(job) -> Callable[[SparkSession, argparse.Namespace], None]:
+    start = {transfers: transfers.start_transfers, documents: documents.start_documents,
+             rejects: rejects.start_rejects}[job]
 
-
-def documents_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    documents.start_documents(_messages(spark, args, "earliest"), args.out, args.checkpoint,
-                              args.every).awaitTermination()
+    def run(spark: SparkSession, args: argparse.Namespace) -> None:
+        start(_messages(spark, args, "earliest", job.GROUP), args.out, args.checkpoint, args.every,
+              args.ledger).awaitTermination()
+    return run
 
 
 def _list(text: str) -> list[str]:
@@ -109,11 +115,13 @@ def parser() -> argparse.ArgumentParser:
     order_job = job("orders", orders_job, "count and sum new orders per second", *stream, "seen", "totals")
     order_job.add_argument("--forget-after", help="forget keys this long after their time")
     order_job.add_argument("--every", default="5 seconds")
-    transfer_job = job("transfers", transfers_job, "keep the bank-transfer table", *stream, "out")
-    document_job = job("documents", documents_job, "keep the index documents", *stream, "out")
-    for sub in (transfer_job, document_job):
+    tables = [job("transfers", _table_job(transfers), "keep the bank-transfer table", *stream, "out"),
+              job("documents", _table_job(documents), "keep the index documents", *stream, "out"),
+              job("rejects", _table_job(rejects), "list the messages that the other jobs leave out", *stream, "out")]
+    for sub in tables:
         sub.add_argument("--every", default="10 seconds")
-    for sub in (order_job, transfer_job, document_job):
+        sub.add_argument("--ledger", help="table of the offsets read; a job without a checkpoint starts from it")
+    for sub in (order_job, *tables):
         sub.add_argument("--per-trigger", type=int, help="most messages per micro-batch")
     return top
 

@@ -23,37 +23,61 @@ CREDIT_TRADE_TYPES = ("6", "7", "8", "9")
 OPEN_CONTRACT = "0"
 QUOTE_PREFIXES = {"G": "HK:", "S": "HK:", "2": "SZ:", "9": "SZ:", "1": "SH:"}
 
-#: Amounts of up to 26 digits before the point; products and sums use all 38 digits.
+#: Amounts of up to 26 digits before the point; sums use all 38 digits.
 AMOUNT_TYPE = "decimal(30,4)"
 
+#: Parts of a quantity, a quantity, and a price: a product of the last two has 38 digits,
+#: eight of them after the point, so none is lost.
+PART_TYPE, QUANTITY_TYPE, PRICE_TYPE, VALUE_TYPE = "decimal(23,4)", "decimal(24,4)", "decimal(13,4)", "decimal(38,8)"
+
+#: Columns that are multiplied; all other amounts are only added.
+_TYPES = {**dict.fromkeys(("current_amount", "correct_amount", "real_buy_amount", "real_sell_amount"), PART_TYPE),
+          **dict.fromkeys(("asset_price", "market_price", "nav"), PRICE_TYPE)}
+
+
+def _type_of(name: str) -> str:
+    return _TYPES.get(name, AMOUNT_TYPE)
+
 
 def _parsed(df: DataFrame, name: str) -> Column:
-    column = F.col(name)
+    column, kind = F.col(name), _type_of(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
-        return column.try_cast(AMOUNT_TYPE)
+        return column.try_cast(kind)
     # Empty text is common and a failed cast is slow, so it never gets that far.
     text = F.when(column != "", column)
     # Spellings such as "1d" only read as a double.
-    return F.coalesce(text.try_cast(AMOUNT_TYPE), text.try_cast("double").try_cast(AMOUNT_TYPE))
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
 
 
 def amount(df: DataFrame, name: str) -> Column:
-    """Column ``name`` of ``df`` as an exact amount; empty, missing or unreadable is 0."""
-    return F.coalesce(_parsed(df, name), F.lit(0).cast(AMOUNT_TYPE))
+    """Column ``name`` of ``df`` as an exact amount; empty, missing, unreadable or too large is 0."""
+    return F.coalesce(_parsed(df, name), F.lit(0).cast(_type_of(name)))
 
 
 def is_bad_amount(df: DataFrame, name: str) -> Column:
-    """True where ``name`` holds something that :func:`amount` has to count as 0."""
+    """True where ``name`` holds something that :func:`amount` has to count as 0, or has to round."""
     filled = F.col(name).isNotNull()
-    if isinstance(df.schema[name].dataType, T.StringType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
         filled = F.trim(name) != ""
-    return F.coalesce(filled & _parsed(df, name).isNull(), F.lit(False))
+    rounded = F.lit(False)
+    if isinstance(kind, T.StringType) or (isinstance(kind, T.DecimalType) and kind.scale > 4):
+        # More decimals than an amount has; what does not fit here does not fit an amount either.
+        rounded = F.col(name).try_cast("decimal(38,10)") != _parsed(df, name)
+    return F.coalesce(filled & (_parsed(df, name).isNull() | F.coalesce(rounded, F.lit(False))), F.lit(False))
+
+
+def value_of(quantity: Column | str, price: Column | str) -> Column:
+    """Quantity times price with all eight decimals."""
+    quantity, price = (F.col(c) if isinstance(c, str) else c for c in (quantity, price))
+    return (quantity.cast(QUANTITY_TYPE) * price.cast(PRICE_TYPE)).cast(VALUE_TYPE)
 
 
 def position_quantity(df: DataFrame) -> Column:
     """Shares held: current + correction + bought - sold."""
-    return (amount(df, "current_amount") + amount(df, "correct_amount")
-            + amount(df, "real_buy_amount") - amount(df, "real_sell_amount"))
+    parts = (amount(df, "current_amount") + amount(df, "correct_amount")
+             + amount(df, "real_buy_amount") - amount(df, "real_sell_amount"))
+    return parts.cast(QUANTITY_TYPE)
 
 
 def cash_balance(df: DataFrame) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse import schemas
 from tallyhouse.functions import rules
 from tallyhouse.operators.keepone import keep_last
 
@@ -39,15 +40,15 @@ def doc_route(events: DataFrame) -> DataFrame:
             .select("index",
                     F.when(is_contract, F.col("compact_id")).otherwise(F.col("position_str"))
                     .alias("doc_id"),
-                    "offset", "fund_account", "money_type",
+                    *schemas.ORDER, "fund_account", "money_type",
                     F.when(F.col("index") == JOURNAL_INDEX, F.col("occur_balance"))
                     .otherwise(zero).alias("occur_balance"),
                     F.col("timeload").alias("time_load")))
 
 
 def doc_upsert(documents: DataFrame) -> DataFrame:
-    """The last document written under each (index, id)."""
-    return keep_last(documents, ["index", "doc_id"], "offset")
+    """The last document written under each (index, id), in the order of the messages."""
+    return keep_last(documents, ["index", "doc_id"], *schemas.ORDER)
 
 
 def doc_match(documents: DataFrame, column: str, value: str, size: int | None = None) -> DataFrame:

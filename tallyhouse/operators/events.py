@@ -28,7 +28,7 @@ def parse_events(messages: DataFrame) -> DataFrame:
     is_bad = F.col("_e._corrupt_record").isNotNull() | F.col("_c._corrupt_record").isNotNull()
     names = [n for n in schemas.COLUMN_INFO.fieldNames() if n != "_corrupt_record"]
     typed = opened.select(
-        "topic", "partition", "offset",
+        *schemas.ORDER,
         F.col("_e.Tablename").alias("tablename"),
         F.col("_e.operType").alias("oper_type"),
         F.col("_e.timeload").alias("timeload"),
@@ -59,18 +59,19 @@ def order_events(events: DataFrame) -> DataFrame:
     """Order inserts and updates with their second and value."""
     usable = F.col("position_str").isNotNull() & rules.entrust_time().isNotNull()
     return (events.filter(F.col("corrupt").isNull() & rules.is_order_event() & usable)
-            .select("position_str", "offset", "timeload", rules.entrust_time().alias("entrust_time"),
+            .select("position_str", *schemas.ORDER, "timeload", rules.entrust_time().alias("entrust_time"),
                     F.col("business_balance").alias("balance")))
 
 
 def latest_orders(orders: DataFrame) -> DataFrame:
     """The order with the greatest ``timeload`` per key; the first to arrive if equal."""
-    return keep_last(orders, ["position_str"], F.col("timeload"), -F.col("offset"))
+    first = keep_first(orders, ["position_str", "timeload"], *schemas.ORDER)
+    return keep_last(first, ["position_str"], "timeload").select(*orders.columns)
 
 
 def first_seen_orders(orders: DataFrame) -> DataFrame:
     """The first order ever to arrive per key; later updates do not count."""
-    return keep_first(orders, ["position_str"], "offset")
+    return keep_first(orders, ["position_str"], *schemas.ORDER)
 
 
 def unseen_orders(orders: DataFrame, seen: DataFrame) -> DataFrame:
@@ -98,30 +99,30 @@ def transfer_events(events: DataFrame) -> DataFrame:
     """
     usable = F.col("corrupt").isNull() & F.col("position_str").isNotNull()
     return (events.filter(usable & rules.is_transfer_event())
-            .select("position_str", "offset", F.col("timeload").alias("load_time"),
+            .select("position_str", *schemas.ORDER, F.col("timeload").alias("load_time"),
                     F.col("occur_balance").alias("balance"), "fund_account", "money_type"))
 
 
 def transfer_changes(transfers: DataFrame) -> DataFrame:
     """Transfers reduced to one change per key: the first load time, the last values."""
     last = F.struct("load_time", "balance", "fund_account", "money_type")
+    at = F.struct(*schemas.ORDER)
     return (transfers.groupBy("position_str").agg(
-        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
-        F.min_by("load_time", "offset").alias("init_time"),
-        F.max_by(last, "offset").alias("_last"))
-        .select("position_str", "first_offset", "last_offset", "init_time", "_last.*"))
+        F.min(at).alias("first_at"), F.max(at).alias("last_at"),
+        F.min_by("load_time", at).alias("init_time"), F.max_by(last, at).alias("_last"))
+        .select("position_str", "first_at", "last_at", "init_time", "_last.*"))
 
 
 def merge_transfers(changes: DataFrame) -> DataFrame:
     """Changes of any number of batches merged to one row per key.
 
-    Ordered by offset only, so merging is associative and repeating a batch, or
-    splitting it, does not change the result.
+    Ordered by the messages' own order only, so merging is associative and repeating a
+    batch, or splitting it, does not change the result.
     """
     values = [c for c in ("load_time", "balance", "fund_account", "money_type", "biz_dt")
               if c in changes.columns]
     return (changes.groupBy("position_str").agg(
-        F.min_by("init_time", "first_offset").alias("init_time"),
-        F.max_by(F.struct(*values), "last_offset").alias("_last"),
-        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"))
-        .select("position_str", "first_offset", "last_offset", "init_time", "_last.*"))
+        F.min_by("init_time", "first_at").alias("init_time"),
+        F.max_by(F.struct(*values), "last_at").alias("_last"),
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+        .select("position_str", "first_at", "last_at", "init_time", "_last.*"))

@@ -53,9 +53,11 @@ def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame
                     .otherwise(zero))
         .withColumn("last_day_asset", F.coalesce("last_day_asset", zero))
     )
-    income = F.col("real_asset") - F.col("trade_value") - F.col("last_day_asset")
+    # 36 digits each, so that the difference of three keeps all eight decimals.
+    now, traded, before = (F.col(c).cast("decimal(36,8)") for c in ("real_asset", "trade_value", "last_day_asset"))
+    income = now - traded - before
     return placed.select(*_STOCK, "money_type", "real_asset", "last_day_asset", "trade_value",
-                         income.cast("decimal(38,6)").alias("today_income"))
+                         income.cast("decimal(38,8)").alias("today_income"))
 
 
 def stock_income_text(income: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
-from tallyhouse.sinks.keyed import write_keyed
+from tallyhouse.sinks.keyed import read_keyed, write_keyed
 
 
 def split_rowkey(snapshot: DataFrame, *names: str) -> DataFrame:
@@ -32,7 +32,8 @@ def snapshot_totals(snapshot: DataFrame, keys: Sequence[str], value: str = "valu
 def load_snapshot(snapshot: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Replace the table at ``path`` by ``snapshot`` and read it back.
 
-    Written by the tasks themselves; nothing passes through the driver.
+    Written by the tasks themselves; nothing passes through the driver. A load that fails
+    leaves the last snapshot as it was.
     """
     write_keyed(snapshot, path, keys)
-    return snapshot.sparkSession.read.schema(snapshot.schema).parquet(path)
+    return read_keyed(snapshot.sparkSession, path, snapshot.schema)

@@ -26,8 +26,11 @@ def _total(df: DataFrame, keys: Sequence[str], value: Column | str, name: str) -
 
 def _last_row(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     if "rowkey" not in df.columns:
-        # The key is unique then; the aggregate makes sure of one row per key.
-        return df.groupBy(*keys).agg(F.max(value).alias(value))
+        # Without an order no row of a repeated key is the last one, so a key that holds
+        # two values stops the job.
+        one = F.when(F.min(value).isNull() | (F.min(value) == F.max(value)), F.max(value)).otherwise(
+            F.raise_error(F.lit(f"several values of {value} under one key and no rowkey to choose by")))
+        return df.groupBy(*keys).agg(one.alias(value))
     return keep_last(df, keys, "rowkey", value).select(*keys, value)
 
 
@@ -69,9 +72,9 @@ def position_market_value(positions: DataFrame, prices: DataFrame, **lookup) ->
     """
     valued = left_lookup(position_quantity(positions), price_effective(prices), PRICE_KEYS,
                          **lookup)
-    price = F.coalesce("price", F.lit(0).cast(rules.AMOUNT_TYPE))
+    price = F.coalesce("price", F.lit(0).cast(rules.PRICE_TYPE))
     return (valued.withColumn("price", price)
-            .withColumn("market_value", F.col("quantity") * F.col("price")))
+            .withColumn("market_value", rules.value_of("quantity", "price")))
 
 
 def stock_market_value(valued: DataFrame, *extra_keys: str) -> DataFrame:
@@ -92,8 +95,8 @@ def account_market_value(valued: DataFrame, *extra_keys: str) -> DataFrame:
 def offexchange_market_value(holdings: DataFrame, navs: DataFrame, **lookup) -> DataFrame:
     """Value per (account, currency) of fund holdings; 0 where no NAV is known."""
     valued = left_lookup(position_quantity(holdings), nav_latest(navs), NAV_KEYS, **lookup)
-    nav = F.coalesce("nav", F.lit(0).cast(rules.AMOUNT_TYPE))
-    return _total(valued, ["fund_account", "money_type"], F.col("quantity") * nav, "market_value")
+    nav = F.coalesce("nav", F.lit(0).cast(rules.PRICE_TYPE))
+    return _total(valued, ["fund_account", "money_type"], rules.value_of("quantity", nav), "market_value")
 
 
 def cash_balance(cash: DataFrame) -> DataFrame:
@@ -106,26 +109,37 @@ def cash_balance(cash: DataFrame) -> DataFrame:
     return total.filter(F.abs("balance") > 0)
 
 
+def open_contracts(contracts: DataFrame) -> DataFrame:
+    """Contracts that still run, or do not tell."""
+    return contracts.filter(rules.equals_or_missing("compact_type", rules.OPEN_CONTRACT))
+
+
 def credit_liability(contracts: DataFrame) -> DataFrame:
     """Debt per (account, currency) of open contracts; a missing type counts as open."""
-    still_open = contracts.filter(rules.equals_or_missing("compact_type", rules.OPEN_CONTRACT))
+    still_open = open_contracts(contracts)
     return _total(still_open, ["fund_account", "money_type"], rules.contract_debt(still_open), "liability")
 
 
-def _on_date(df: DataFrame, biz_date: str | None) -> DataFrame:
+def on_date(df: DataFrame, biz_date: str | None) -> DataFrame:
+    """Rows of one business date, or without one; all rows if no date is given."""
     return df if biz_date is None else df.filter(rules.equals_or_missing("init_date", biz_date))
 
 
 def fund_net_in(journal: DataFrame, biz_date: str | None = None) -> DataFrame:
     """Net inflow per (account, currency), of one business date if given."""
-    return _total(_on_date(journal, biz_date), ["fund_account", "money_type"],
+    return _total(on_date(journal, biz_date), ["fund_account", "money_type"],
                   rules.amount(journal, "occur_balance"), "net_in")
 
 
+def valid_trades(trades: DataFrame, types: Sequence[str], biz_date: str | None = None) -> DataFrame:
+    """Trades of the given types that count."""
+    valid = F.col("real_status").isin(*rules.TRADE_STATUSES) & F.col("real_type").isin(*types)
+    return on_date(trades, biz_date).filter(valid)
+
+
 def trade_rows(trades: DataFrame, types: Sequence[str], biz_date: str | None = None) -> DataFrame:
     """Valid trades of the given types with their signed value."""
-    valid = F.col("real_status").isin(*rules.TRADE_STATUSES) & F.col("real_type").isin(*types)
-    return (_on_date(trades, biz_date).filter(valid)
+    return (valid_trades(trades, types, biz_date)
             .select("fund_account", "stock_code", "real_type",
                     rules.signed_trade_value(trades).alias("net_trade")))
 

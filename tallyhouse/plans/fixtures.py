@@ -84,6 +84,15 @@ select cast(o_custkey as string) as fund_account,
        cast(o_totalprice as decimal(18,2)) as real_compact_balance,
        cast(o_orderkey % 100 as decimal(18,2)) as real_compact_fare
 from {orders}
+""",
+    "fx_contracts_text": """
+select cast(o_custkey as string) as fund_account,
+       case when o_orderkey % 2 = 0 then '0' else '1' end as money_type,
+       case o_orderstatus when 'F' then '0' when 'O' then '1' else null end as compact_type,
+       cast(cast(o_totalprice as decimal(18,2)) as string) as real_compact_balance,
+       case when o_orderkey % 100 = 13 then 'none' when o_orderkey % 100 = 14 then '13.00005'
+            else cast(o_orderkey % 100 as string) end as real_compact_fare
+from {orders}
 """,
     "fx_journal": """
 select cast(o_custkey as string) as fund_account,
@@ -116,6 +125,9 @@ group by 1, 2, 3, 4
     "fx_cdc": """
 select event_id,
        ts,
+       case when event_id % 2 = 0 then 'trades' else 'journal' end as topic,
+       cast((event_id % 4 - event_id % 2) / 2 as int) as part,
+       cast((event_id - event_id % 4) / 4 as bigint) + case when event_id % 2 = 0 then 5000 else 0 end as off,
        case event_type when 'click' then 'ENTRUST' when 'view' then 'CBSENTRUST'
             when 'purchase' then 'CRDTENTRUST' when 'signup' then 'FUNDJOUR' else '' end as tablename,
        case event_id % 4 when 0 then 'I' when 1 then 'U' when 2 then 'D' else 'i' end as oper_type,
@@ -148,6 +160,9 @@ where p_partkey % 2 = 0
     "fx_doc_cdc": """
 select event_id,
        ts,
+       case when event_id % 2 = 0 then 'trades' else 'journal' end as topic,
+       cast((event_id % 4 - event_id % 2) / 2 as int) as part,
+       cast((event_id - event_id % 4) / 4 as bigint) + case when event_id % 2 = 0 then 5000 else 0 end as off,
        case event_id % 8 when 0 then 'STOCKREAL' when 1 then 'CRDTSTOCKREAL' when 2 then 'SECUMREAL'
             when 3 then 'COMPACT' when 4 then 'BANKTRANSFER' when 5 then 'ENTRUST' else 'FUNDJOUR' end as tablename,
        case when event_id % 32 < 8 then 'I' when event_id % 32 < 16 then 'U'
@@ -185,7 +200,9 @@ def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _json_messages(events: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Events as a message source delivers them.
 
-    Every second message holds ``columnInfo`` as text instead of as an object.
+    Every second message holds ``columnInfo`` as text instead of as an object. There are
+    two topics of two partitions, and an offset of the one is far from that of the other
+    at the same time.
     """
     info = F.struct(*[F.col(column).cast("string").alias(name) for name, column in fields.items()])
     head = [F.col("tablename").alias("Tablename"), F.col("oper_type").alias("operType"),
@@ -193,8 +210,8 @@ def _json_messages(events: DataFrame, fields: dict[str, str]) -> DataFrame:
     nested = F.to_json(F.struct(*head, info.alias("columnInfo")))
     quoted = F.to_json(F.struct(*head, F.to_json(info).alias("columnInfo")))
     return events.select(F.when(F.col("event_id") % 2 == 0, nested).otherwise(quoted).alias("value"),
-                         F.lit("trades").alias("topic"), F.lit(0).alias("partition"),
-                         F.col("event_id").alias("offset"))
+                         "topic", F.col("part").alias("partition"), F.col("off").alias("offset"),
+                         F.col("ts").cast("timestamp").alias("message_time"))
 
 
 def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,13 +19,16 @@ from tallyhouse.plans import fixtures
 from tallyhouse.plans.fixtures import shape, table
 from tallyhouse.plans.valuation_run import run_valuation
 from tallyhouse.session import new_folder
-from tallyhouse.sinks.keyed import lookup, read_for_date, write_for_date, write_keyed
+from tallyhouse.sinks.keyed import lookup, read_for_date, read_keyed, write_for_date, write_keyed
 from tallyhouse.sources.messages import file_messages
 from tallyhouse.sources.tables import row_counts, scan_table
-from tallyhouse.streaming import orders, progress, rejects, replay, transfers
+from tallyhouse.streaming import ledger, orders, rejects, replay, transfers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Where a message came from, besides its time.
+PLACE = ("topic", "partition", "offset")
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -78,19 +81,19 @@ _VALUED = f"""valued as (
 _IS_ORDER = ("oper_type in ('I','U') and tablename in "
              "('ENTRUST','CBSENTRUST','CBPENTRUST','','CRDTENTRUST')")
 _ORDERS = f"""ord as (
-  select position_str, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as timeload,
+  select position_str, ts, topic, part as "partition", off as "offset", strftime(ts, '%Y-%m-%d %H:%M:%S') as timeload,
          substr(init_date || lpad(curr_time, 9, '0'), 1, 14) as entrust_time, balance
   from fx_cdc where {_IS_ORDER})"""
 _FIRST = """first_seen as (
-  select position_str, event_id, entrust_time, balance from (
-    select *, row_number() over (partition by position_str order by event_id) as n from ord)
+  select position_str, topic, "partition", "offset", entrust_time, balance from (
+    select *, row_number() over (partition by position_str order by ts, topic, "partition", "offset") as n from ord)
   where n = 1)"""
 _IS_TRANSFER = ("upper(oper_type) in ('I','U') and tablename in ('FUNDJOUR','') "
                 "and money_type in ('0','1') and business_flag in ('2041','2042','2141','2142')")
 _MERGED = f"""merged as (
-  select position_str, first(ts order by event_id) as init_ts, last(ts order by event_id) as load_ts,
-         last(balance order by event_id) as balance, last(fund_account order by event_id) as fund_account,
-         last(money_type order by event_id) as money_type
+  select position_str, first(ts order by ts, topic, part, off) as init_ts, last(ts order by ts, topic, part, off) as load_ts,
+         last(balance order by ts, topic, part, off) as balance, last(fund_account order by ts, topic, part, off) as fund_account,
+         last(money_type order by ts, topic, part, off) as money_type
   from fx_cdc where {_IS_TRANSFER} group by position_str)
 select position_str, strftime(init_ts, '%Y-%m-%d %H:%M:%S') as init_time,
        strftime(load_ts, '%Y-%m-%d %H:%M:%S') as load_time, cast(balance as double) as balance,
@@ -103,15 +106,15 @@ _DOCS = f"""routed as (
               when tablename = 'CRDTSTOCKREAL' then 'hs_crdt_crdtstockreal'
               when tablename = 'SECUMREAL' then 'hs_prod_secumreal' end as index,
          case when tablename = 'COMPACT' then compact_id else position_str end as doc_id,
-         event_id as "offset", fund_account, money_type,
+         ts, topic, part as "partition", off as "offset", fund_account, money_type,
          cast(case when {_JOURNAL_DOC} then balance else 0 end as decimal(18,2)) as occur_balance,
          strftime(ts, '%Y-%m-%d %H:%M:%S') as time_load
   from fx_doc_cdc where upper(oper_type) in ('I','U')),
 docs as (
-  select index, doc_id, "offset", fund_account, money_type, occur_balance, time_load from (
-    select *, row_number() over (partition by index, doc_id order by "offset" desc) as n
+  select * from (
+    select *, row_number() over (partition by index, doc_id order by ts desc, topic desc, "partition" desc, "offset" desc) as n
     from routed where index is not null) where n = 1)"""
-_DOC_COLUMNS = ('index, doc_id, "offset", fund_account, money_type, '
+_DOC_COLUMNS = ('index, doc_id, topic, "partition", "offset", fund_account, money_type, '
                 'cast(occur_balance as double) as occur_balance, time_load')
 
 
@@ -370,7 +373,12 @@ def account_positions(spark, sf_dir):
 @query(_ACCOUNT_VALUE.replace("where", f"where fund_account = '{ACCOUNT}' and money_type = '0' and")
        % "ordinary")
 def kv_lookup(spark, sf_dir):
-    return lookup(account_market_value(spark, sf_dir), fund_account=ACCOUNT, money_type="0")
+    """One key of the account totals, stored as a keyed table before."""
+    totals = valuation.account_market_value(_valued(spark, sf_dir, "ordinary"))
+    path = new_folder(spark, "totals")
+    write_keyed(totals, path, ["fund_account", "money_type"])
+    stored = read_keyed(spark, path, totals.schema)
+    return as_doubles(lookup(stored, fund_account=ACCOUNT, money_type="0"))
 
 
 # --- session and pairs -----------------------------------------------------
@@ -396,37 +404,37 @@ def _events(spark, sf_dir):
     return events.parse_events(fixtures.change_messages(spark, sf_dir))
 
 
-@query("""select event_id as "offset", tablename, oper_type,
+@query("""select topic, part as "partition", off as "offset", tablename, oper_type,
        strftime(ts, '%Y-%m-%d %H:%M:%S') as timeload, strftime(ts, '%Y%m%d%H%M%S') as load_second,
        position_str, fund_account, money_type, business_flag, init_date, curr_time,
        cast(balance as double) as business_balance, cast(balance as double) as occur_balance from fx_cdc""")
 def cdc_parse(spark, sf_dir):
     parsed = _events(spark, sf_dir)
     return as_doubles(parsed.select(
-        "offset", "tablename", "oper_type", "timeload",
+        *PLACE, "tablename", "oper_type", "timeload",
         F.date_format("load_ts", "yyyyMMddHHmmss").alias("load_second"), "position_str", "fund_account",
         "money_type", "business_flag", "init_date", "curr_time", "business_balance",
         "occur_balance"))
 
 
-@query(f"""select event_id as "offset", tablename, oper_type, position_str,
+@query(f"""select topic, part as "partition", off as "offset", tablename, oper_type, position_str,
        cast(balance as double) as business_balance from fx_cdc where {_IS_ORDER}""")
 def entrust_filter(spark, sf_dir):
     kept = _events(spark, sf_dir).filter(rules.is_order_event())
-    return as_doubles(kept.select("offset", "tablename", "oper_type", "position_str",
+    return as_doubles(kept.select(*PLACE, "tablename", "oper_type", "position_str",
                                   "business_balance"))
 
 
-@query("""select event_id as "offset", init_date, curr_time,
+@query("""select topic, part as "partition", off as "offset", init_date, curr_time,
        substr(init_date || lpad(curr_time, 9, '0'), 1, 14) as entrust_time from fx_cdc""")
 def entrust_time(spark, sf_dir):
-    return _events(spark, sf_dir).select("offset", "init_date", "curr_time",
+    return _events(spark, sf_dir).select(*PLACE, "init_date", "curr_time",
                                          rules.entrust_time().alias("entrust_time"))
 
 
-_REJECTS = f"""select 'trades' as topic, cast(0 as integer) as "partition", event_id as "offset",
-       case when event_id % 50 = 7 then 'unreadable' else 'no key' end as reason
-from fx_cdc where event_id % 50 = 7 or event_id % 50 = 8 and (({_IS_ORDER}) or ({_IS_TRANSFER}))"""
+_REJECTS = f"""select topic, part as "partition", off as "offset",
+       case when off % 50 = 7 then 'unreadable' else 'no key' end as reason
+from fx_cdc where off % 50 = 7 or off % 50 = 8 and (({_IS_ORDER}) or ({_IS_TRANSFER}))"""
 
 
 @query(_REJECTS)
@@ -449,15 +457,15 @@ def _orders(spark, sf_dir):
 
 
 @query(f"""with {_ORDERS}
-select position_str, event_id as "offset", timeload, entrust_time, cast(balance as double) as balance from (
-  select *, row_number() over (partition by position_str order by timeload desc, event_id) as n from ord)
+select position_str, topic, "partition", "offset", timeload, entrust_time, cast(balance as double) as balance from (
+  select *, row_number() over (partition by position_str order by timeload desc, ts, topic, "partition", "offset") as n from ord)
 where n = 1""")
 def entrust_latest(spark, sf_dir):
-    return as_doubles(events.latest_orders(_orders(spark, sf_dir)))
+    return as_doubles(events.latest_orders(_orders(spark, sf_dir)).drop("message_time"))
 
 
 _FIRST_SEEN = f"""with {_ORDERS}, {_FIRST}
-select position_str, event_id as "offset", entrust_time, cast(balance as double) as balance from first_seen"""
+select position_str, topic, "partition", "offset", entrust_time, cast(balance as double) as balance from first_seen"""
 _PER_SECOND = f"""with {_ORDERS}, {_FIRST}
 select substr(entrust_time, 1, 8) as init_date, substr(entrust_time, 9, 6) as load_time,
        count(*) as entrust_num, cast(sum(balance) as double) as balance from first_seen group by entrust_time"""
@@ -465,7 +473,7 @@ select substr(entrust_time, 1, 8) as init_date, substr(entrust_time, 9, 6) as lo
 
 @query(_FIRST_SEEN)
 def entrust_first_seen(spark, sf_dir):
-    return as_doubles(events.first_seen_orders(_orders(spark, sf_dir).drop("timeload")))
+    return as_doubles(events.first_seen_orders(_orders(spark, sf_dir).drop("timeload")).drop("message_time"))
 
 
 @query(_PER_SECOND)
@@ -474,10 +482,10 @@ def entrust_per_second(spark, sf_dir):
     return as_doubles(events.per_second(first))
 
 
-@query(f"""select position_str, event_id as "offset", strftime(ts, '%Y-%m-%d %H:%M:%S') as load_time,
+@query(f"""select position_str, topic, part as "partition", off as "offset", strftime(ts, '%Y-%m-%d %H:%M:%S') as load_time,
        cast(balance as double) as balance, fund_account, money_type from fx_cdc where {_IS_TRANSFER}""")
 def bank_transfer_filter(spark, sf_dir):
-    return as_doubles(events.transfer_events(_events(spark, sf_dir)))
+    return as_doubles(events.transfer_events(_events(spark, sf_dir)).drop("message_time"))
 
 
 def _transfer_table(changes: DataFrame) -> DataFrame:
@@ -505,7 +513,7 @@ def _run_orders(spark, sf_dir) -> tuple[str, str]:
 @query(_FIRST_SEEN)
 def entrust_first_seen_stream(spark, sf_dir):
     seen, _ = _run_orders(spark, sf_dir)
-    return as_doubles(orders.read_seen(spark, seen))
+    return as_doubles(orders.read_seen(spark, seen).drop("message_time"))
 
 
 @query(_PER_SECOND)
@@ -516,11 +524,11 @@ def entrust_per_second_stream(spark, sf_dir):
 
 def _run_transfers(spark, sf_dir):
     root = new_folder(spark, "transfers")
-    inbox, path = f"{root}/inbox", f"{root}/table"
-    runs = replay.replay(fixtures.change_messages(spark, sf_dir), inbox,
-                         lambda: transfers.start_transfers(file_messages(spark, inbox), path,
-                                                           f"{root}/checkpoint", every=None))
-    return path, runs
+    inbox, path, book = (f"{root}/{part}" for part in ("inbox", "table", "ledger"))
+    replay.replay(fixtures.change_messages(spark, sf_dir), inbox,
+                  lambda: transfers.start_transfers(file_messages(spark, inbox), path, f"{root}/checkpoint",
+                                                    every=None, ledger=book))
+    return path, book
 
 
 @query(f"with {_MERGED}")
@@ -529,10 +537,12 @@ def bank_transfer_stream(spark, sf_dir):
     return _transfer_table(transfers.read_transfers(spark, path))
 
 
-@query()
+@query("""select 'transfers' as group_id, topic, part as "partition", max(off) + 1 as until_offset
+from fx_cdc group by topic, part""")
 def offset_progress(spark, sf_dir):
-    _, runs = _run_transfers(spark, sf_dir)
-    return progress.offset_progress(*runs)
+    """The ledger of a transfer stream that has read all messages."""
+    _, ledger_path = _run_transfers(spark, sf_dir)
+    return ledger.offset_progress(spark, ledger_path)
 
 
 # --- quotes ----------------------------------------------------------------
@@ -568,28 +578,32 @@ def _routed(spark, sf_dir):
     return documents.doc_route(events.parse_events(fixtures.document_messages(spark, sf_dir)))
 
 
+def _doc_table(rows: DataFrame) -> DataFrame:
+    return as_doubles(rows.drop("message_time"))
+
+
 def _documents(spark, sf_dir):
     return documents.doc_upsert(_routed(spark, sf_dir))
 
 
 @query(f"with {_DOCS} select {_DOC_COLUMNS} from routed where index is not null")
 def doc_route(spark, sf_dir):
-    return as_doubles(_routed(spark, sf_dir))
+    return _doc_table(_routed(spark, sf_dir))
 
 
 @query(f"with {_DOCS} select {_DOC_COLUMNS} from docs")
 def doc_upsert(spark, sf_dir):
-    return as_doubles(_documents(spark, sf_dir))
+    return _doc_table(_documents(spark, sf_dir))
 
 
 @query(f"with {_DOCS} select {_DOC_COLUMNS} from docs where fund_account = '{ACCOUNT}'")
 def doc_match(spark, sf_dir):
-    return as_doubles(documents.doc_match(_documents(spark, sf_dir), "fund_account", ACCOUNT))
+    return _doc_table(documents.doc_match(_documents(spark, sf_dir), "fund_account", ACCOUNT))
 
 
 @query(f"with {_DOCS} select {_DOC_COLUMNS} from docs where index = '{documents.JOURNAL_INDEX}'")
 def doc_match_all(spark, sf_dir):
-    return as_doubles(documents.doc_match_all(_documents(spark, sf_dir), documents.JOURNAL_INDEX))
+    return _doc_table(documents.doc_match_all(_documents(spark, sf_dir), documents.JOURNAL_INDEX))
 
 
 @query("""with asset as (select fund_account, sum(value) as real_total_asset from fx_lastday
@@ -620,7 +634,7 @@ def doc_terms_sum(spark, sf_dir):
 
 @query(f"with {_DOCS} select {_DOC_COLUMNS} from docs where coalesce(fund_account <> '{ACCOUNT}', true)")
 def doc_delete(spark, sf_dir):
-    return as_doubles(documents.doc_delete(_documents(spark, sf_dir),
+    return _doc_table(documents.doc_delete(_documents(spark, sf_dir),
                                            F.col("fund_account") == ACCOUNT))
 
 
@@ -631,7 +645,7 @@ def sink_keyed(spark, sf_dir):
     result = valuation.stock_market_value(_valued(spark, sf_dir), "book")
     path = new_folder(spark, "keyed")
     write_keyed(result, path, ["fund_account", "stock_code", "money_type", "book"])
-    return as_doubles(spark.read.schema(result.schema).parquet(path))
+    return as_doubles(read_keyed(spark, path, result.schema))
 
 
 @query(_ACCOUNT_VALUE.replace("select fund_account,", f"select '{RUN_DATE}' as biz_date, fund_account,")
@@ -654,14 +668,33 @@ def _run_inputs(spark, sf_dir):
             "prices": shape(spark, sf_dir, "fx_prices"), "navs": shape(spark, sf_dir, "fx_nav"),
             "holdings": shape(spark, sf_dir, "fx_offexchange"),
             "cash": shape(spark, sf_dir, "fx_cash"),
-            "contracts": shape(spark, sf_dir, "fx_contracts"),
+            "contracts": shape(spark, sf_dir, "fx_contracts_text"),
             "journal": shape(spark, sf_dir, "fx_journal"), "trades": trades,
             "credit_trades": trades}
 
 
-@query()
+def _counted(name: str, sql: str, bad: str = "0") -> str:
+    return f"select '{RUN_DATE}' as biz_date, '{name}' as step_name, (select count(*) from ({sql})) as rows_written, cast({bad} as bigint) as bad_amounts"
+
+
+_VALUE_OF_BOOK = "select * from ({}) where book = '{}'"
+_RUN_LOG = "\nunion all ".join([
+    _counted("stock_value", _VALUE_OF_BOOK.format(ORACLES["stock_market_value"], "ordinary")),
+    _counted("account_value", ORACLES["account_market_value"]),
+    _counted("credit_stock_value", _VALUE_OF_BOOK.format(ORACLES["stock_market_value"], "credit")),
+    _counted("credit_account_value", ORACLES["account_market_value_credit"]),
+    _counted("offexchange_value", ORACLES["offexchange_market_value"]),
+    _counted("cash", ORACLES["cash_balance"]),
+    _counted("credit_debt", ORACLES["credit_liability"], "(select count(*) from (" + _oracle(
+        "select * from fx_contracts_text where (compact_type = '0' or compact_type is null) and real_compact_fare in ('none', '13.00005')") + "))"),
+    _counted("net_in", "select distinct o_custkey, o_orderkey % 2 from orders"),
+    _counted("net_trade", ORACLES["trade_net"]),
+    _counted("credit_net_trade", ORACLES["trade_net_credit"])])
+
+
+@query(_RUN_LOG)
 def run_log(spark, sf_dir):
     """A whole valuation pass; returns its step log."""
     out = new_folder(spark, "run")
     run_valuation(spark, _run_inputs(spark, sf_dir), out, RUN_DATE, of_date=False)
-    return spark.read.parquet(f"{out}/run_log")
+    return spark.read.parquet(f"{out}/run_log").drop("start_time", "end_time")

@@ -5,30 +5,81 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyhouse import schemas
+from tallyhouse.functions import rules
 from tallyhouse.operators import valuation
-from tallyhouse.sinks.keyed import read_for_date, write_for_date
+from tallyhouse.sinks.keyed import Watch, read_for_date, write_for_date
 from tallyhouse.sources.tables import observed
 
 ACCOUNT = ("fund_account", "money_type")
 ACCOUNT_STOCK = ("fund_account", "stock_code")
 ACCOUNT_STOCK_CURRENCY = ("fund_account", "stock_code", "money_type")
 
+_PARTS = ("current_amount", "correct_amount", "real_buy_amount", "real_sell_amount")
+
+#: Amount columns of each input.
+AMOUNTS: dict[str, tuple[str, ...]] = {
+    "positions": _PARTS, "credit_positions": _PARTS, "holdings": _PARTS,
+    "prices": ("asset_price", "market_price"), "navs": ("nav",),
+    "cash": ("current_balance", "correct_balance", "real_buy_balance", "real_sell_balance"),
+    "contracts": ("real_compact_balance", "real_compact_fare"), "journal": ("occur_balance",),
+    "trades": ("business_balance",), "credit_trades": ("business_balance",)}
+
+#: The rows of an input that its step uses, where these are not all.
+USED: dict[str, Callable[[DataFrame, str | None], DataFrame]] = {
+    "contracts": lambda df, date: valuation.open_contracts(df), "journal": valuation.on_date,
+    "trades": lambda df, date: valuation.valid_trades(df, rules.TRADE_TYPES, date),
+    "credit_trades": lambda df, date: valuation.valid_trades(df, rules.CREDIT_TRADE_TYPES, date)}
+
+
+class Watched(Mapping):
+    """The inputs of one step, reduced to the rows that it uses, with their unreadable amounts counted."""
+
+    def __init__(self, step: str, inputs: Mapping[str, DataFrame], biz_date: str | None) -> None:
+        self._step, self._inputs, self._date = step, inputs, biz_date
+        self._seen: list[tuple[Observation, list[str]]] = []
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._inputs[name]
+        # The step's own filter, here as well: below the observation it reaches the reader.
+        df = USED[name](df, self._date) if name in USED else df
+        amounts = [c for c in AMOUNTS[name] if c in df.columns]
+        watched, seen = observed(df, f"{self._step}_{name}", amounts)
+        self._seen.append((seen, amounts))
+        return watched
+
+    def __iter__(self):
+        return iter(self._inputs)
+
+    def __len__(self) -> int:
+        return len(self._inputs)
+
+    def bad_amounts(self) -> int:
+        """Amounts that counted as 0 or were rounded; known once the step is written."""
+        return sum(seen.get[f"bad_{c}"] for seen, amounts in self._seen for c in amounts)
+
 
 class RunLog:
-    """Start, end and row count of each step, appended to a table at the end."""
+    """Date, start, end, row count and bad amounts of each step, appended to a table at the end."""
 
-    def __init__(self) -> None:
-        self._steps: list[tuple[str, str, str, int]] = []
+    def __init__(self, biz_date: str) -> None:
+        self._date = biz_date
+        self._steps: list[tuple[str, str, str, str, int, int]] = []
 
-    def write(self, name: str, df: DataFrame, save: Callable[[DataFrame], None]) -> None:
+    def write(self, name: str, df: DataFrame, save: Callable[[DataFrame, Watch], None],
+              bad_amounts: Callable[[], int] = lambda: 0) -> None:
         """Run ``save`` on ``df``; the rows are counted while they are written."""
-        counted, seen = observed(df, f"step_{name}")
+        counts: list[Observation] = []
+
+        def watch(rows: DataFrame) -> DataFrame:
+            counted, seen = observed(rows, f"step_{name}")
+            counts.append(seen)
+            return counted
         begin = self._now()
-        save(counted)
-        self._steps.append((name, begin, self._now(), seen.get["rows"]))
+        save(df, watch)
+        self._steps.append((self._date, name, begin, self._now(), counts[-1].get["rows"], bad_amounts()))
 
     @staticmethod
     def _now() -> str:
@@ -73,7 +124,7 @@ def run_valuation(spark: SparkSession, inputs: Mapping[str, DataFrame], out: str
     fails does not keep the others from running; the errors are raised at the end,
     when all finished steps are written and logged.
     """
-    log = RunLog()
+    log = RunLog(biz_date)
     date = biz_date if of_date else None
     errors: list[Exception] = []
     for name in steps:
@@ -90,10 +141,11 @@ def run_valuation(spark: SparkSession, inputs: Mapping[str, DataFrame], out: str
 def _run_step(spark: SparkSession, log: RunLog, name: str, inputs: Mapping[str, DataFrame],
               out: str, biz_date: str, date: str | None) -> None:
     keys, build = STEPS[name]
-    log.write(name, build(inputs, date),
-              lambda df: write_for_date(df, f"{out}/{name}", keys, biz_date))
+    watched = Watched(name, inputs, date)
+    log.write(name, build(watched, date),
+              lambda df, watch: write_for_date(df, f"{out}/{name}", keys, biz_date, watch), watched.bad_amounts)
     if name in ROLLUPS:
         total = ROLLUPS[name]
         stocks = read_for_date(spark, f"{out}/{name}", biz_date)
         log.write(total, valuation.account_market_value(stocks),
-                  lambda df: write_for_date(df, f"{out}/{total}", ACCOUNT, biz_date))
+                  lambda df, watch: write_for_date(df, f"{out}/{total}", ACCOUNT, biz_date, watch))

@@ -45,8 +45,18 @@ MESSAGE = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
+    T.StructField("message_time", T.TimestampType()),
 ])
 
+#: The order of messages: by the time the stream gave them, which is comparable across
+#: topics and partitions as offsets are not, then by place. A missing time comes first.
+ORDER = ("message_time", "topic", "partition", "offset")
+
+_ORDER_FIELDS = [next(f for f in MESSAGE.fields if f.name == n) for n in ORDER]
+
+#: A message's place in that order, as one value.
+AT = T.StructType(_ORDER_FIELDS)
+
 #: The change envelope. ``columnInfo`` stays text on the first parse: Spark hands
 #: over a nested object as its JSON text and a quoted one unescaped, so both
 #: spellings read the same. ``_corrupt_record`` holds what does not parse.
@@ -61,7 +71,7 @@ MONEY = T.DecimalType(30, 4)
 
 FIRST_SEEN = T.StructType([
     T.StructField("position_str", T.StringType()),
-    T.StructField("offset", T.LongType()),
+    *_ORDER_FIELDS,
     T.StructField("entrust_time", T.StringType()),
     T.StructField("balance", MONEY),
 ])
@@ -75,8 +85,8 @@ SECOND_TOTALS = T.StructType([
 
 TRANSFERS = T.StructType([
     T.StructField("position_str", T.StringType()),
-    T.StructField("first_offset", T.LongType()),
-    T.StructField("last_offset", T.LongType()),
+    T.StructField("first_at", AT),
+    T.StructField("last_at", AT),
     T.StructField("init_time", T.StringType()),
     T.StructField("load_time", T.StringType()),
     T.StructField("balance", MONEY),
@@ -88,11 +98,20 @@ TRANSFERS = T.StructType([
 DOCUMENTS = T.StructType([
     T.StructField("index", T.StringType()),
     T.StructField("doc_id", T.StringType()),
-    T.StructField("offset", T.LongType()),
+    *_ORDER_FIELDS,
     T.StructField("fund_account", T.StringType()),
     T.StructField("money_type", T.StringType()),
     T.StructField("occur_balance", MONEY),
     T.StructField("time_load", T.StringType()),
+    T.StructField("biz_dt", T.TimestampType()),
+])
+
+#: Next offset to read, by the batch that settled it.
+OFFSETS = T.StructType([
+    T.StructField("group_id", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("until_offset", T.LongType()),
 ])
 
 REJECTS = T.StructType([
@@ -104,8 +123,10 @@ REJECTS = T.StructType([
 ])
 
 RUN_LOG = T.StructType([
+    T.StructField("biz_date", T.StringType()),
     T.StructField("step_name", T.StringType()),
     T.StructField("start_time", T.StringType()),
     T.StructField("end_time", T.StringType()),
     T.StructField("rows_written", T.LongType()),
+    T.StructField("bad_amounts", T.LongType()),
 ])

@@ -6,37 +6,66 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyhouse.sinks import pointers, versions
 
 #: Rows handed to an outside store at once.
 BLOCK_ROWS = 10_000
 
 
-def write_keyed(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Replace the table at ``path``.
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def _store(keys: Sequence[str], watch: Watch | None) -> Callable[[DataFrame, str], None]:
+    def write(df: DataFrame, folder: str) -> None:
+        dealt = df.repartitionByRange(*keys)
+        (dealt if watch is None else watch(dealt)).sortWithinPartitions(*keys).write.option(
+            f"parquet.bloom.filter.enabled#{keys[0]}", "true").parquet(folder)
+    return write
+
+
+def write_keyed(df: DataFrame, path: str, keys: Sequence[str], watch: Watch | None = None) -> None:
+    """Replace the table at ``path`` by a new version of it (:mod:`~tallyhouse.sinks.versions`).
 
-    Sorted by key inside each file and with a Bloom filter on the first key, so
-    that a lookup by key skips row groups and files. No shuffle is added.
+    Rows are dealt to files by ranges of the keys and sorted in them, so that no two files
+    or row groups span the same keys and a lookup reads the few that hold its key; the
+    first key has a Bloom filter. That is one shuffle of the result, whose ranges come from
+    a sample; ``watch`` may add an observation to the rows on their way to the files, where
+    each passes once.
     """
-    (df.sortWithinPartitions(*keys).write.mode("overwrite")
-     .option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").parquet(path))
+    versions.replace(df, path, _store(keys, watch))
+
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a keyed table as they were last replaced."""
+    return versions.read(spark, path, schema)
 
 
 def date_path(path: str, biz_date: str) -> str:
     return f"{path}/biz_date={biz_date}"
 
 
-def write_for_date(df: DataFrame, path: str, keys: Sequence[str], biz_date: str) -> None:
+def write_for_date(df: DataFrame, path: str, keys: Sequence[str], biz_date: str,
+                   watch: Watch | None = None) -> None:
     """Replace one business date of the table at ``path``; other dates stay.
 
-    The date's folder is replaced as a whole, so an empty result clears it too
-    (a dynamic partition overwrite would leave the old rows).
+    A date is a table with versions of its own, so an empty result clears it too.
     """
-    write_keyed(df, date_path(path, biz_date), keys)
+    write_keyed(df, date_path(path, biz_date), keys, watch)
 
 
 def read_for_date(spark: SparkSession, path: str, biz_date: str) -> DataFrame:
     """Rows of one business date; other dates' files are not opened."""
-    return spark.read.parquet(date_path(path, biz_date))
+    return read_keyed(spark, date_path(path, biz_date))
+
+
+def read_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of every business date, with ``biz_date`` as text."""
+    dates = [n for n in pointers.children(spark, path) if n.startswith("biz_date=")]
+    folders = [versions.current(spark, f"{path}/{name}") for name in dates]
+    date = F.regexp_extract("_metadata.file_path", "/biz_date=([^/]+)/", 1)
+    return spark.read.parquet(*folders).withColumn("biz_date", date)
 
 
 def lookup(table: DataFrame, **key: str) -> DataFrame:

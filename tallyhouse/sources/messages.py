@@ -30,7 +30,8 @@ def kafka_options(servers: str, topics: str, start: str | Mapping = "latest",
 def kafka_messages(spark: SparkSession, **settings) -> DataFrame:
     """Messages from Kafka; needs the connector jar that matches the Spark version."""
     stream = spark.readStream.format("kafka").options(**kafka_options(**settings)).load()
-    return stream.selectExpr("cast(value as string) as value", "topic", "partition", "offset")
+    return stream.selectExpr("cast(value as string) as value", "topic", "partition", "offset",
+                             "timestamp as message_time")
 
 
 def file_messages(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:

@@ -3,37 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse import schemas
 from tallyhouse.operators import documents, events
-from tallyhouse.sinks import batches
+from tallyhouse.sinks.batches import BatchTable
 from tallyhouse.streaming import jobs
 
+GROUP = "documents"
 
-def start_documents(messages: DataFrame, path: str, checkpoint: str,
-                    every: str | None = "10 seconds") -> StreamingQuery:
+
+def documents_table(path: str) -> BatchTable:
+    return BatchTable(path, schemas.DOCUMENTS, ["index", "doc_id"],
+                      lambda df: documents.doc_upsert(df).select(*schemas.DOCUMENTS.fieldNames()))
+
+
+def start_documents(messages: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds",
+                    ledger: str | None = None) -> StreamingQuery:
     """Run the document stream.
 
-    Each micro-batch writes the last document of every id it touched;
-    :func:`read_documents` keeps the last over all batches, by offset.
+    Each micro-batch writes the last document of every id it touched, with the time of
+    writing as ``biz_dt``; :func:`read_documents` keeps the last over all batches.
     """
-    batches.create_table(messages.sparkSession, path, schemas.DOCUMENTS)
-    routed = documents.doc_route(events.parse_events(messages))
+    def last(batch: DataFrame) -> DataFrame:
+        routed = documents.doc_route(events.parse_events(batch))
+        return documents.doc_upsert(routed).withColumn("biz_dt", F.current_timestamp())
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        last = documents.doc_upsert(batch).select(*schemas.DOCUMENTS.fieldNames())
-        batches.write_batch(last, path, batch_id)
-
-    return jobs.start(routed.writeStream.foreachBatch(write), checkpoint, every)
+    return jobs.start_table(messages, documents_table(path), last, checkpoint, every, GROUP, ledger)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """The documents as they stand."""
-    stored = batches.read_batches(spark, path, schemas.DOCUMENTS).drop("batch_id")
-    return documents.doc_upsert(stored)
-
-
-def compact_documents(spark: SparkSession, path: str, new_path: str, upto: int) -> None:
-    """Keep only the standing documents; see :func:`~tallyhouse.sinks.batches.compact`."""
-    batches.compact(spark, path, schemas.DOCUMENTS, new_path, upto, documents.doc_upsert)
+    return documents_table(path).read(spark)

@@ -8,9 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse import schemas
 from tallyhouse.operators import events
-from tallyhouse.sinks import batches
+from tallyhouse.operators.keepone import keep_first
+from tallyhouse.sinks.batches import BatchTable
 from tallyhouse.streaming import jobs
 
+#: Parts of the state whose new rows share a file of a batch.
+STATE_PARTS_A_FILE = 16
+
 
 def new_orders(orders: DataFrame) -> DataFrame:
     """Per micro-batch, the orders whose key was never seen before (update mode).
@@ -24,7 +28,7 @@ def new_orders(orders: DataFrame) -> DataFrame:
     to differ between batches, which holds while the driver's clock is not set back.
     """
     stamped = orders.withColumn("_batch", F.current_timestamp())
-    first = F.min_by(F.struct("offset", "entrust_time", "balance"), F.struct("_batch", "offset"))
+    first = F.min_by(F.struct(*schemas.ORDER, "entrust_time", "balance"), F.struct("_batch", *schemas.ORDER))
     return (stamped.groupBy("position_str")
             .agg(first.alias("_first"), F.min("_batch").alias("_since"),
                  F.max("_batch").alias("_latest"))
@@ -40,7 +44,16 @@ def new_orders_within(orders: DataFrame, delay: str) -> DataFrame:
     """
     return (orders.withWatermark("load_ts", delay)
             .dropDuplicatesWithinWatermark(["position_str"])
-            .select("position_str", "offset", "entrust_time", "balance"))
+            .select(*schemas.FIRST_SEEN.fieldNames()))
+
+
+def seen_table(path: str) -> BatchTable:
+    return BatchTable(path, schemas.FIRST_SEEN, ["position_str"],
+                      lambda df: keep_first(df, ["position_str"], *schemas.ORDER).select(*df.columns))
+
+
+def totals_table(path: str) -> BatchTable:
+    return BatchTable(path, schemas.SECOND_TOTALS, ["init_date", "load_time"], _add_up)
 
 
 def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoint: str,
@@ -48,14 +61,12 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
                  state_partitions: int | None = None) -> StreamingQuery:
     """Run the order stream.
 
-    Each batch writes its new orders and their per-second totals, each to a folder
-    of the batch's number. A batch repeated after a failure
-    replaces both folders, so no order is lost or counted twice.
+    Each batch writes its new orders, then their per-second totals from what it wrote, each
+    to a folder of the batch's number, and folds earlier batches when they are many. A batch
+    repeated after a failure replaces both folders, so no order is lost or counted twice.
     """
     spark = messages.sparkSession
     jobs.prepare_state(spark)
-    batches.create_table(spark, seen_path, schemas.FIRST_SEEN)
-    batches.create_table(spark, totals_path, schemas.SECOND_TOTALS)
     parsed = events.parse_events(messages)
     if forget_after is None:
         fresh, mode = new_orders(events.order_events(parsed)), "update"
@@ -64,16 +75,17 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
             "load_ts", F.try_to_timestamp("timeload", F.lit("yyyy-MM-dd HH:mm:ss")))
         fresh, mode = new_orders_within(timed, forget_after), "append"
 
-    staging = f"{checkpoint.rstrip('/')}-staging"
+    seen, totals = seen_table(seen_path), totals_table(totals_path)
+    origin = jobs.origin(spark, seen_path, checkpoint, [seen, totals])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The stateful plan runs once, into a folder that every batch replaces. Its
-        # session cannot size partitions adaptively; the caller's reads it back and
-        # can, so that a batch does not leave one file per state partition.
-        batch.write.mode("overwrite").parquet(staging)
-        fresh_orders = spark.read.schema(schemas.FIRST_SEEN).parquet(staging)
-        batches.write_batch(fresh_orders, seen_path, batch_id)
-        batches.write_batch(events.per_second(fresh_orders), totals_path, batch_id)
+        number = origin + batch_id
+        # The stateful plan runs once, with as many tasks as the state has parts; its few
+        # new rows go to fewer files.
+        seen.write(batch.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // STATE_PARTS_A_FILE)), number)
+        totals.write(events.per_second(seen.batch(spark, number)), number)
+        for table in (seen, totals):
+            table.fold_before(spark, number)
 
     return jobs.start(fresh.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every,
                       spark, state_partitions)
@@ -81,21 +93,14 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
 
 def read_seen(spark: SparkSession, seen_path: str) -> DataFrame:
     """First order of every key seen so far."""
-    return batches.read_batches(spark, seen_path, schemas.FIRST_SEEN).drop("batch_id")
+    return seen_table(seen_path).read(spark)
 
 
 def _add_up(parts: DataFrame) -> DataFrame:
     return parts.groupBy("init_date", "load_time").agg(
-        F.sum("entrust_num").alias("entrust_num"), F.sum("balance").alias("balance"))
+        F.sum("entrust_num").alias("entrust_num"), F.sum("balance").cast("decimal(38,4)").alias("balance"))
 
 
 def read_totals(spark: SparkSession, totals_path: str) -> DataFrame:
     """One row per second: the parts that the batches wrote, added up."""
-    return _add_up(batches.read_batches(spark, totals_path, schemas.SECOND_TOTALS))
-
-
-def compact_orders(spark: SparkSession, seen_path: str, totals_path: str, new_seen_path: str,
-                   new_totals_path: str, upto: int) -> None:
-    """Combine the folders of both tables; see :func:`~tallyhouse.sinks.batches.compact`."""
-    batches.compact(spark, seen_path, schemas.FIRST_SEEN, new_seen_path, upto, lambda df: df)
-    batches.compact(spark, totals_path, schemas.SECOND_TOTALS, new_totals_path, upto, _add_up)
+    return totals_table(totals_path).read(spark)

@@ -7,25 +7,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse import schemas
 from tallyhouse.operators import events
-from tallyhouse.sinks import batches
+from tallyhouse.sinks.batches import BatchTable
 from tallyhouse.streaming import jobs
 
+GROUP = "rejects"
 
-def start_rejects(messages: DataFrame, path: str, checkpoint: str,
-                  every: str | None = "10 seconds") -> StreamingQuery:
+
+def rejects_table(path: str) -> BatchTable:
+    # A message read again after a restart is the same reject.
+    return BatchTable(path, schemas.REJECTS, ["topic", "partition", "offset"], DataFrame.distinct)
+
+
+def start_rejects(messages: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds",
+                  ledger: str | None = None) -> StreamingQuery:
     """Run the rejects stream beside the job that reads the same messages.
 
     It has its own checkpoint and keeps no state; a repeated batch replaces its folder.
     """
-    batches.create_table(messages.sparkSession, path, schemas.REJECTS)
-    rejected = events.rejected_events(events.parse_events(messages))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batches.write_batch(batch, path, batch_id)
+    def rejected(batch: DataFrame) -> DataFrame:
+        return events.rejected_events(events.parse_events(batch))
 
-    return jobs.start(rejected.writeStream.foreachBatch(write), checkpoint, every)
+    return jobs.start_table(messages, rejects_table(path), rejected, checkpoint, every, GROUP, ledger)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Every message rejected so far."""
-    return batches.read_batches(spark, path, schemas.REJECTS).drop("batch_id")
+    return rejects_table(path).read(spark)

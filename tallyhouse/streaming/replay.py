@@ -1,4 +1,4 @@
-"""Stored events replayed through a stream in offset order, without Kafka."""
+"""Stored events replayed through a stream in the order of their messages, without Kafka."""
 
 from __future__ import annotations
 
@@ -8,23 +8,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: Messages of a slice, and slices at least.
+SLICE_ROWS, LEAST_SLICES = 2_000_000, 3
+
 
 def replay(messages: DataFrame, inbox: str, start: Callable[[], StreamingQuery],
-           slices: int = 3) -> list[StreamingQuery]:
-    """Feed ``messages`` to a stream in ``slices`` consecutive offset ranges.
+           slices: int | None = None) -> list[StreamingQuery]:
+    """Feed ``messages`` to a stream in consecutive ranges of the message time.
 
     Each range is written to ``inbox`` (many files, by all tasks) and then taken by
     one run of the stream, started by ``start`` on the same checkpoint. So keys
     arrive in order however the events are stored, and every run but the first is
-    a restart. The range is a filter the reader of the stored events can use.
+    a restart. There are as many ranges as keep one at SLICE_ROWS messages, cut at
+    quantiles of the times.
     """
-    low, high = messages.agg(F.min("offset"), F.max("offset")).first()
-    if low is None:
+    time = F.coalesce(F.unix_micros("message_time"), F.lit(0))
+    count = messages.count()
+    if not count:
         raise ValueError("no messages to replay")
-    step = (high - low) // slices + 1
+    slices = slices or max(LEAST_SLICES, -(-count // SLICE_ROWS))
+    shares = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(messages.agg(F.percentile_approx(time, shares, 10_000)).first()[0])) if shares else []
     runs = []
-    for begin in range(low, high + 1, step):
-        part = messages.filter(F.col("offset").between(begin, begin + step - 1))
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = messages if low is None else messages.filter(time > low)
+        part = part if high is None else part.filter(time <= high)
         part.write.mode("append").parquet(inbox)
         runs.append(start())
         runs[-1].awaitTermination()

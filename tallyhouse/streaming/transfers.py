@@ -8,35 +8,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse import schemas
 from tallyhouse.operators import events
-from tallyhouse.sinks import batches
+from tallyhouse.sinks.batches import BatchTable
 from tallyhouse.streaming import jobs
 
-_NAMES = schemas.TRANSFERS.fieldNames()
+GROUP = "transfers"
 
 
-def start_transfers(messages: DataFrame, path: str, checkpoint: str,
-                    every: str | None = "10 seconds") -> StreamingQuery:
+def transfers_table(path: str) -> BatchTable:
+    return BatchTable(path, schemas.TRANSFERS, ["position_str"], events.merge_transfers)
+
+
+def start_transfers(messages: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds",
+                    ledger: str | None = None) -> StreamingQuery:
     """Run the transfer stream.
 
     Each micro-batch writes one change per key it touched, so its cost does not
-    grow with the table; :func:`read_transfers` merges the changes. Changes are
-    ordered by offset, so a repeated batch or message leaves the table as it was.
+    grow with the table; :func:`read_transfers` merges the changes. Changes keep the order
+    of their messages, so a repeated batch or message leaves the table as it was. With
+    ``ledger`` the offsets read are kept in a table, too.
     """
-    batches.create_table(messages.sparkSession, path, schemas.TRANSFERS)
-    transfers = events.transfer_events(events.parse_events(messages))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        changes = events.transfer_changes(batch).withColumn("biz_dt", F.current_timestamp())
-        batches.write_batch(changes.select(*_NAMES), path, batch_id)
+    def changes(batch: DataFrame) -> DataFrame:
+        transfers = events.transfer_events(events.parse_events(batch))
+        return events.transfer_changes(transfers).withColumn("biz_dt", F.current_timestamp())
 
-    return jobs.start(transfers.writeStream.foreachBatch(write), checkpoint, every)
+    return jobs.start_table(messages, transfers_table(path), changes, checkpoint, every, GROUP, ledger)
 
 
 def read_transfers(spark: SparkSession, path: str) -> DataFrame:
     """The merged table."""
-    return events.merge_transfers(batches.read_batches(spark, path, schemas.TRANSFERS))
-
-
-def compact_transfers(spark: SparkSession, path: str, new_path: str, upto: int) -> None:
-    """Combine the changes; see :func:`~tallyhouse.sinks.batches.compact`."""
-    batches.compact(spark, path, schemas.TRANSFERS, new_path, upto, events.merge_transfers)
+    return transfers_table(path).read(spark)

@@ -1,23 +1,26 @@
 """Parsing, filters and keep-one rules of change events, in batch."""
 
 import json
+from datetime import datetime
 from decimal import Decimal
+from functools import reduce
 
 from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 
 from tallyhouse import schemas
-from tallyhouse.operators import events
+from tallyhouse.operators import documents, events
 
 
-def message(offset, table="ENTRUST", op="I", quoted=False, time="2024-01-02 09:30:00", **info):
+def message(offset, table="ENTRUST", op="I", quoted=False, time="2024-01-02 09:30:00", at=None, topic="t", partition=0, **info):
     body = {"POSITION_STR": "p", "INIT_DATE": "20240102", "CURR_TIME": "93000123",
             "BUSINESS_BALANCE": "10", "FUND_ACCOUNT": "a", "MONEY_TYPE": "0", "BUSINESS_FLAG": "2041",
             "OCCUR_BALANCE": "5", **info}
     envelope = {"Tablename": table, "operType": op, "timeload": time,
                 "columnInfo": json.dumps(body) if quoted else body}
-    return (json.dumps({k: v for k, v in envelope.items() if v is not None}), "t", 0, offset)
+    return (json.dumps({k: v for k, v in envelope.items() if v is not None}), topic, partition, offset, at)
 
 
 def parsed(spark, *messages):
@@ -27,7 +30,7 @@ def parsed(spark, *messages):
 def test_object_and_quoted_text_read_the_same(spark):
     got = rows(parsed(spark, message(1), message(1, quoted=True)).drop("corrupt"))
     assert got[0] == got[1]
-    assert got[0][:5] == ("t", 0, 1, "ENTRUST", "I")
+    assert got[0][:6] == (None, "t", 0, 1, "ENTRUST", "I")
 
 
 def test_numbers_read_as_text(spark):
@@ -36,7 +39,8 @@ def test_numbers_read_as_text(spark):
 
 
 def test_unreadable_messages_are_set_aside(spark):
-    broken = [("{not json", "t", 0, 7), (json.dumps({"Tablename": "ENTRUST", "operType": "I", "columnInfo": "{oops"}), "t", 0, 8)]
+    broken = [("{not json", "t", 0, 7, None),
+              (json.dumps({"Tablename": "ENTRUST", "operType": "I", "columnInfo": "{oops"}), "t", 0, 8, None)]
     df = parsed(spark, message(1), *broken)
     assert rows(events.rejected_events(df), "offset") == [(7,), (8,)]
     assert rows(events.order_events(df), "offset") == [(1,)]
@@ -94,18 +98,43 @@ def test_merge_keeps_first_time_and_last_values(spark):
     assert rows(merged, "init_time", "load_time", "balance", "money_type") == [(at(1), at(5), Decimal("9"), "1")]
 
 
+def test_order_goes_across_topics_and_partitions(spark):
+    nine, ten = datetime(2024, 1, 2, 9), datetime(2024, 1, 2, 10)
+    late = message(5, at=ten, topic="a", OCCUR_BALANCE="10", BUSINESS_BALANCE="10")
+    early = message(900, at=nine, topic="b", OCCUR_BALANCE="9", BUSINESS_BALANCE="9")
+    untimed = message(2000, topic="z", OCCUR_BALANCE="1", BUSINESS_BALANCE="1")
+    orders = events.order_events(parsed(spark, late, early))
+    assert rows(events.first_seen_orders(orders), "offset") == [(900,)]
+    assert rows(events.latest_orders(orders), "offset") == [(900,)], "of one load time the first to arrive"
+    assert rows(events.first_seen_orders(events.order_events(parsed(spark, late, early, untimed))), "offset") == [(2000,)]
+    journal = dict(table="FUNDJOUR")
+    moves = parsed(spark, *[message(m, at=t, topic=p, OCCUR_BALANCE=v, **journal)
+                            for m, t, p, v in ((5, ten, "a", "10"), (900, nine, "b", "9"), (6, ten, "a", "11"), (5, ten, "c", "12"))])
+    assert rows(events.transfer_changes(events.transfer_events(moves)), "balance") == [(Decimal("12"),)]
+    docs = documents.doc_upsert(documents.doc_route(moves))
+    assert rows(docs, "topic", "offset", "occur_balance") == [("c", 5, Decimal("12"))]
+
+
+ORDER = "message_time timestamp, topic string, partition int, offset long"
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(keys=st.lists(st.sampled_from("abc"), min_size=1, max_size=12), cuts=st.lists(st.integers(0, 12), max_size=2))
-def test_merge_is_the_same_in_any_batches(spark, keys, cuts):
-    data = [(k, n, f"t{n}", Decimal(n), f"acct{n}", "0") for n, k in enumerate(keys)]
-    schema = "position_str string, offset long, load_time string, balance decimal(18,4), fund_account string, money_type string"
-    whole = events.transfer_changes(spark.createDataFrame(data, schema))
-    bounds = [0, *sorted(cuts), len(data)]
+@given(keys=st.lists(st.sampled_from("abc"), min_size=1, max_size=12), cuts=st.lists(st.integers(0, 12), max_size=2),
+       places=st.lists(st.tuples(st.integers(0, 2), st.sampled_from("xy"), st.integers(0, 1)), min_size=12, max_size=12))
+def test_merge_is_the_same_in_any_batches(spark, keys, cuts, places):
+    data = [(k, datetime(2024, 1, 2, hour), topic, part, 100 - n, f"t{n}", Decimal(n), f"acct{n}", "0")
+            for n, (k, (hour, topic, part)) in enumerate(zip(keys, places))]
+    schema = f"position_str string, {ORDER}, load_time string, balance decimal(18,4), fund_account string, money_type string"
+    frame = lambda part: spark.createDataFrame(part, schema)
+    whole = events.transfer_changes(frame(data))
+    bounds = [0, *sorted(min(c, len(data)) for c in cuts), len(data)]
     parts = [data[a:b] for a, b in zip(bounds, bounds[1:])]
     parts.append(parts[0])  # a repeated batch
-    changes = None
-    for part in parts:
-        one = events.transfer_changes(spark.createDataFrame(part, schema))
-        changes = one if changes is None else changes.unionByName(one)
-    merged = events.merge_transfers(changes)
-    assert rows(merged.select(*whole.columns)) == rows(whole)
+    changes = [events.transfer_changes(frame(part)) for part in parts]
+    assert rows(events.merge_transfers(reduce(DataFrame.unionByName, changes)).select(*whole.columns)) == rows(whole)
+    docs = [events.keep_last(frame(part), ["position_str"], *schemas.ORDER) for part in parts]
+    last = events.keep_last(reduce(DataFrame.unionByName, docs), ["position_str"], *schemas.ORDER)
+    best = {}
+    for row in data:
+        best[row[0]] = max(best.get(row[0], row), row, key=lambda r: r[1:5])
+    assert rows(last, "position_str", "load_time") == sorted((k, r[5]) for k, r in best.items())

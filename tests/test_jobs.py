@@ -7,6 +7,7 @@ from helpers import rows
 
 from tallyhouse import __main__ as jobs
 from tallyhouse import schemas
+from tallyhouse.sinks.keyed import read_dates, read_keyed
 
 
 def store(spark, path, schema, *data):
@@ -34,7 +35,7 @@ def tables(spark, tmp_path):
 def test_valuation_snapshot_and_income(spark, tmp_path, tables):
     run, last, credit_last, out = (str(tmp_path / n) for n in ("run", "last", "credit_last", "out"))
     jobs.main(["valuation", "--tables", tables, "--out", run, "--date", "20240102"])
-    value = lambda table, column: [float(v) for (v,) in rows(spark.read.parquet(f"{run}/{table}"), column)]
+    value = lambda table, column: [float(v) for (v,) in rows(read_dates(spark, f"{run}/{table}"), column)]
     assert value("account_value", "market_value") == [25.0, 25.0]
     assert value("credit_account_value", "market_value") == [30.0]
     assert value("offexchange_value", "market_value") == [12.345]
@@ -46,11 +47,11 @@ def test_valuation_snapshot_and_income(spark, tmp_path, tables):
         stored = str(tmp_path / name)
         spark.createDataFrame([(key, number), ("z_z_0", "0")], "rowkey string, v string").write.parquet(stored)
         jobs.main(["snapshot", "--table", stored, "--value", "v", "--out", target])
-    assert spark.read.parquet(last).count() == 1 and spark.read.parquet(credit_last).count() == 0
+    assert read_keyed(spark, last).count() == 1 and read_keyed(spark, credit_last).count() == 0
 
     jobs.main(["income", "--run", run, "--date", "20240102", "--last-day", last,
                "--credit-last-day", credit_last, "--account", "a", "--out", out])
-    got = {r["book"]: json.loads(r["income_json"]) for r in spark.read.parquet(out).collect()}
+    got = {r["book"]: json.loads(r["income_json"]) for r in read_keyed(spark, out).collect()}
     assert got == {
         "ordinary": {"tradeValue": "6.0000", "lastDayAsset": "20.0000", "todayIncome": "-1.0000",
                      "realAsset": "25.0000", "stockCode": "s"},
@@ -62,13 +63,15 @@ def test_quotes(spark, tmp_path, tables):
     answers, out = str(tmp_path / "answers"), str(tmp_path / "out")
     spark.createDataFrame([("1", '{"results": [[9, "t"], [8, "new"]]}')], "exchange_type string, value string").write.parquet(answers)
     jobs.main(["quotes", "--prices", f"{tables}/prices", "--answers", answers, "--out", out])
-    got = spark.read.parquet(out)
+    got = read_keyed(spark, out)
     assert rows(got, "stock_code", "exchange_type", "asset_price", "market_price") == [
         ("new", "1", None, "8.0000"), ("s", "1", "2", "2.5"), ("t", "1", "3", "9.0000")]
     assert set(got.columns) == set(schemas.PRICES.fieldNames()), "the other columns stay"
+    jobs.main(["quotes", "--prices", out, "--answers", answers, "--out", out])
+    assert rows(read_keyed(spark, out)) == rows(got), "prices may be refreshed in place"
 
 
-@pytest.mark.parametrize("job", ["orders", "transfers", "documents"])
+@pytest.mark.parametrize("job", ["orders", "transfers", "documents", "rejects"])
 def test_stream_options(job):
     paths = ["--seen", "s", "--totals", "t"] if job == "orders" else ["--out", "o"]
     args = jobs.parser().parse_args([job, "--servers", "h:1", "--topics", "x", "--checkpoint", "c", *paths,

@@ -230,7 +230,8 @@ def test_document_routes(spark):
     table = frame(spark, names, event("FUNDJOUR"), event("BANKTRANSFER", "u"), event("FUNDJOUR", money="2"),
                   event("FUNDJOUR", flag="1"), event("COMPACT"), event("STOCKREAL", money="2"), event("CRDTSTOCKREAL"),
                   event("SECUMREAL", "D"), event("ENTRUST"), event(None))
-    table = table.withColumn("offset", F.lit(1).cast("long")).withColumn("occur_balance", F.lit(5).cast("decimal(18,4)"))
+    table = table.withColumn("offset", F.lit(1).cast("long")).withColumn("topic", F.lit("t")).withColumn("partition", F.lit(0)).withColumn(
+        "message_time", F.lit(None).cast("timestamp")).withColumn("occur_balance", F.lit(5).cast("decimal(18,4)"))
     assert rows(documents.doc_route(table), "index", "doc_id", "occur_balance") == [
         ("hs_asset_fundjour", "p", D("5.0000")), ("hs_asset_fundjour", "p", D("5.0000")),
         ("hs_crdt_compact", "c", D("0.0000")), ("hs_crdt_crdtstockreal", "p", D("0.0000")),
@@ -251,3 +252,30 @@ def test_long_amounts_are_read(spark):
     df = spark.createDataFrame([("100000000000000.00",), ("12345678901234567890.5",)], "v string")
     found = [r[0] for r in df.select(rules.amount(df, "v")).collect()]
     assert found == [D("100000000000000"), D("12345678901234567890.5")]
+
+
+def test_products_keep_all_their_decimals(spark):
+    positions = spark.createDataFrame([("a", "s", "1", "0", "0.0010", "", "", ""), ("b", "s", "1", "0", "123456789012345.5", "", "", "")],
+                                      "fund_account string, stock_code string, exchange_type string, money_type string, current_amount string, "
+                                      "correct_amount string, real_buy_amount string, real_sell_amount string")
+    prices = spark.createDataFrame([("s", "1", "0.0004", None)], "stock_code string, exchange_type string, asset_price string, market_price string")
+    found = rows(valuation.position_market_value(positions, prices), "fund_account", "market_value")
+    assert found == [("a", D("0.0000004")), ("b", D("49382715604.9382"))]
+    totals = valuation.account_market_value(valuation.position_market_value(positions, prices))
+    assert rows(totals, "fund_account", "market_value") == found
+
+
+def test_amounts_that_are_rounded_or_too_large_are_counted(spark):
+    df = spark.createDataFrame([("1.2345",), ("1.23456",), ("1.23450",), ("9999999999",), ("",), (None,), ("x",)], "market_price string")
+    df = df.withColumn("current_amount", F.col("market_price")).withColumn("wide", F.col("market_price").try_cast("decimal(20,6)"))
+    bad = lambda name: [r[0] for r in df.select(rules.is_bad_amount(df, name)).collect()]
+    assert bad("market_price") == [False, True, False, True, False, False, True]
+    assert bad("current_amount") == [False, True, False, False, False, False, True]
+    assert bad("wide") == [False, True, False, False, False, False, False]
+
+
+def test_several_values_without_an_order_stop_the_job(spark):
+    navs = lambda *v: spark.createDataFrame([("p", "r", x) for x in v], "prod_code string, prodta_no string, nav string")
+    assert rows(valuation.nav_latest(navs("1", "1")), "nav") == [(D("1"),)]
+    with pytest.raises(Exception, match="no rowkey to choose by"):
+        valuation.nav_latest(navs("1", "2")).collect()

@@ -14,8 +14,9 @@ from tallyhouse.operators import events
 from tallyhouse.operators.documents import doc_route, doc_upsert
 from tallyhouse.plans import fixtures
 from tallyhouse.sinks import batches
+from tallyhouse.sinks.batches import BatchTable
 from tallyhouse.sources.messages import file_messages, kafka_options, saved_offsets
-from tallyhouse.streaming import documents, orders, progress, transfers
+from tallyhouse.streaming import documents, ledger, orders, transfers
 from tallyhouse.streaming.replay import replay
 
 
@@ -83,14 +84,14 @@ def test_failure_between_the_two_tables(spark, tmp_path, monkeypatch):
     job.send(message(1), message(2, POSITION_STR="q"))
     job.run()
     job.send(message(3, POSITION_STR="r"), message(4))
-    write = batches.write_batch
+    write = BatchTable.write
 
-    def fail_on_totals(df, path, batch_id):
-        if path == job.totals:
+    def fail_on_totals(table, df, batch_id):
+        if table.path == job.totals:
             raise RuntimeError("lost the driver")
-        write(df, path, batch_id)
+        write(table, df, batch_id)
 
-    monkeypatch.setattr(batches, "write_batch", fail_on_totals)
+    monkeypatch.setattr(BatchTable, "write", fail_on_totals)
     with pytest.raises(StreamingQueryException):
         job.run()
     monkeypatch.undo()
@@ -98,20 +99,17 @@ def test_failure_between_the_two_tables(spark, tmp_path, monkeypatch):
     assert [r[0] for r in seen] == ["p", "q", "r"] and [t[2] for t in totals] == [3]
 
 
-def test_stream_goes_on_after_compaction(spark, tmp_path):
+def test_stream_folds_while_it_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches.BatchTable, "fold_before", lambda table, spark, number: len(
+        [b for b in table._batches(spark) if b < number]) >= 2 and table.fold(spark, number))
     job = Orders(spark, tmp_path)
-    job.send(message(1), message(2, POSITION_STR="q"))
-    job.run()
-    job.send(message(3, POSITION_STR="r"))
-    want = job.run()
-    old = job.seen, job.totals
-    job.seen, job.totals = f"{job.root}/seen2", f"{job.root}/totals2"
-    orders.compact_orders(spark, *old, job.seen, job.totals, upto=1)
-    assert job.run() == want
-    job.send(message(4), message(5, POSITION_STR="s"))
-    seen, totals = job.run()
-    assert [r[0] for r in seen] == ["p", "q", "r", "s"] and [t[2] for t in totals] == [4]
-    folders = glob.glob(f"{job.seen}/batch_id=*")
+    for number, keys in enumerate(["p", "q", "pq", "r", "s", "pt"]):
+        job.send(*[message(10 * number + n, POSITION_STR=k) for n, k in enumerate(keys)])
+        job.run()
+    seen, totals = job.state()
+    assert [r[0] for r in seen] == ["p", "q", "r", "s", "t"] and [t[2] for t in totals] == [5]
+    assert os.listdir(f"{job.seen}/runs") and len(os.listdir(f"{job.seen}/batches")) < 6
+    folders = glob.glob(f"{job.seen}/batches/*") + glob.glob(f"{job.seen}/runs/*")
     assert all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in folders), "small batches leave one file"
 
 
@@ -133,7 +131,7 @@ def test_forgetting_stream(spark, tmp_path):
 
 def test_bad_messages_do_not_stop_the_stream(spark, tmp_path):
     job = Orders(spark, tmp_path)
-    job.send(("{bad", "t", 0, 1), message(2), ("", "t", 0, 3), (None, "t", 0, 4))
+    job.send(("{bad", "t", 0, 1, None), message(2), ("", "t", 0, 3, None), (None, "t", 0, 4, None))
     assert [r[0] for r in job.run()[0]] == ["p"]
 
 
@@ -157,8 +155,7 @@ def test_transfers_equal_batch_and_ignore_repeats(spark, sf_dir, tmp_path, trans
     messages.filter("offset < 500").write.mode("append").parquet(inbox)
     start().awaitTermination()
     assert state() == want
-    transfers.compact_transfers(spark, table, f"{tmp_path}/table2", upto=4)
-    assert state(f"{tmp_path}/table2") == want
+    assert transfers.transfers_table(table).fold(spark, 5) and state() == want
 
 
 def test_documents_equal_batch_and_ignore_repeats(spark, sf_dir, tmp_path):
@@ -169,14 +166,15 @@ def test_documents_equal_batch_and_ignore_repeats(spark, sf_dir, tmp_path):
 
     messages = fixtures.document_messages(spark, sf_dir)
     replay(messages, inbox, start)
-    want = rows(doc_upsert(doc_route(events.parse_events(messages))), *schemas.DOCUMENTS.fieldNames())
-    state = lambda path: rows(documents.read_documents(spark, path), *schemas.DOCUMENTS.fieldNames())
+    names = [n for n in schemas.DOCUMENTS.fieldNames() if n != "biz_dt"]
+    want = rows(doc_upsert(doc_route(events.parse_events(messages))), *names)
+    state = lambda path: rows(documents.read_documents(spark, path), *names)
+    assert documents.read_documents(spark, table).filter("biz_dt is null").count() == 0
     assert state(table) == want
     messages.filter("offset < 400").write.mode("append").parquet(inbox)
     start().awaitTermination()
     assert state(table) == want
-    documents.compact_documents(spark, table, f"{tmp_path}/table2", upto=3)
-    assert state(f"{tmp_path}/table2") == want
+    assert documents.documents_table(table).fold(spark, 4) and state(table) == want
 
 
 def test_stream_reduces_keys_before_the_state(spark, tmp_path):
@@ -190,18 +188,60 @@ def test_stream_reduces_keys_before_the_state(spark, tmp_path):
     assert "Python" not in text
 
 
-def test_progress(spark, sf_dir, transfer_job):
+def test_a_stream_from_the_ledger_alone_loses_and_repeats_nothing(spark, sf_dir, tmp_path):
+    inbox, table, book = (f"{tmp_path}/{n}" for n in ("inbox", "table", "ledger"))
+    messages = fixtures.change_messages(spark, sf_dir)
+
+    def start(checkpoint, source=None):
+        source = file_messages(spark, inbox) if source is None else source
+        return transfers.start_transfers(source, table, f"{tmp_path}/{checkpoint}", every=None, ledger=book)
+
+    half = messages.filter("message_time < timestamp'2024-01-15'")
+    replay(half, inbox, lambda: start("first"), slices=2)
+    rest = messages.filter("message_time >= timestamp'2024-01-15'")
+    rest.write.mode("append").parquet(inbox)
+    assert ledger.unread(spark.read.parquet(inbox), spark, book, "transfers").count() == rest.count()
+    # The checkpoint is lost: another one, the same source from its start, and the ledger.
+    done = spark.read.parquet(inbox).count()
+    source = ledger.unread(file_messages(spark, inbox), spark, book, "transfers")
+    query = start("second", source)
+    query.awaitTermination()
+    assert done == messages.count()
+    want = rows(events.transfer_changes(events.transfer_events(events.parse_events(messages))))
+    names = [n for n in schemas.TRANSFERS.fieldNames() if n != "biz_dt"]
+    assert rows(transfers.read_transfers(spark, table), *names) == want
+    folders = sorted(int(n) for n in os.listdir(f"{table}/batches"))
+    assert folders == [0, 1, 2], "the new stream's batches do not replace the old ones"
+    offsets = rows(ledger.offset_progress(spark, book))
+    ends = messages.groupBy("topic", "partition").agg(F.max("offset") + 1)
+    assert offsets == [("transfers", *r) for r in rows(ends)]
+    taken = [b for b in transfers.transfers_table(table).folders(spark)]
+    assert spark.read.parquet(taken[2]).count() == rows(events.transfer_changes(events.transfer_events(
+        events.parse_events(rest))).groupBy().count())[0][0], "no message of the first half is read again"
+
+
+def test_ledger_is_the_same_however_often_a_batch_runs(spark, tmp_path):
+    book = ledger.ledger_table(str(tmp_path / "ledger"))
+    part = lambda *offsets: ledger.read_until(spark.createDataFrame(
+        [("", "t", 0, o, None) for o in offsets], schemas.MESSAGE), "g")
+    for number in (0, 1, 1, 0):
+        book.write(part(*range(5 * number, 5 * number + 5)), number)
+    assert rows(book.read(spark)) == [("g", "t", 0, 10)]
+    book.fold(spark, 2)
+    assert rows(ledger.offset_progress(spark, book.path)) == [("g", "t", 0, 10)]
+    assert saved_offsets(book.read(spark).collect()) == {"t": {0: 10}}
+
+
+def test_a_checkpoint_of_another_table_is_refused(spark, tmp_path, transfer_job):
     inbox, _, start = transfer_job
-    runs = replay(fixtures.change_messages(spark, sf_dir), inbox, start, slices=2)
-    report = progress.offset_progress(*runs)
-    assert [r["batch_id"] for r in report.orderBy("batch_id").collect()] == [0, 1]
-    assert report.agg(F.sum("num_input_rows")).first()[0] == 1000
+    spark.createDataFrame([message(1, table="FUNDJOUR")], schemas.MESSAGE).write.parquet(inbox)
+    start().awaitTermination()
+    with pytest.raises(ValueError, match="belongs to another table"):
+        transfers.start_transfers(file_messages(spark, inbox), f"{tmp_path}/other", f"{tmp_path}/checkpoint", every=None)
 
 
 def test_kafka_offsets_round_trip(spark):
-    ends = [("q", 1, "s", None, '{"t": {"0": 5, "1": 7}}', 1), ("q", 2, "s", None, '{"t": {"0": 9, "1": 7}, "u": {"0": 3}}', 1)]
-    table = progress.until_offsets(spark.createDataFrame(ends, progress.PROGRESS), "g")
-    assert rows(table) == [("g", "t", 0, 9), ("g", "t", 1, 7), ("g", "u", 0, 3)]
+    table = spark.createDataFrame([("g", "t", 0, 9), ("g", "t", 1, 7), ("g", "u", 0, 3)], schemas.OFFSETS)
     options = kafka_options("host:1", "t,u", start=saved_offsets(table.orderBy("topic", "partition").collect()), per_trigger=200)
     assert options["startingOffsets"] == '{"t": {"0": 9, "1": 7}, "u": {"0": 3}}'
     assert options["maxOffsetsPerTrigger"] == "200"
