@@ -19,10 +19,12 @@ from tallyhouse.plans import fixtures
 from tallyhouse.plans.fixtures import shape, table
 from tallyhouse.plans.valuation_run import run_valuation
 from tallyhouse.session import new_folder
+from tallyhouse.sinks import deletes, outside, seen
 from tallyhouse.sinks.keyed import lookup, read_for_date, read_keyed, write_for_date, write_keyed
 from tallyhouse.sources.messages import file_messages
 from tallyhouse.sources.tables import row_counts, scan_table
 from tallyhouse.streaming import ledger, orders, rejects, replay, transfers
+from tallyhouse.streaming.documents import documents_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -476,6 +478,21 @@ def entrust_first_seen(spark, sf_dir):
     return as_doubles(events.first_seen_orders(_orders(spark, sf_dir).drop("timeload")).drop("message_time"))
 
 
+@query(_FIRST_SEEN)
+def entrust_first_seen_table(spark, sf_dir):
+    """First orders found by three runs in the order of time, each against the keys seen before."""
+    root = new_folder(spark, "seen")
+    keys = seen.SeenKeys(f"seen_{root.rsplit('-', 1)[-1]}", f"{root}/keys", buckets=8)
+    keys.create(spark)
+    found, all_orders = f"{root}/found", _orders(spark, sf_dir).drop("timeload")
+    for number, part in enumerate(replay.slices_of(all_orders, 3)):
+        run = f"run-{number}"
+        keys.unseen(part, run).write.parquet(f"{found}/{run}")
+        fresh = spark.read.parquet(f"{found}/{run}")
+        keys.add(fresh, run)
+    return as_doubles(spark.read.parquet(*[f"{found}/run-{n}" for n in range(3)]).drop("message_time"))
+
+
 @query(_PER_SECOND)
 def entrust_per_second(spark, sf_dir):
     first = events.first_seen_orders(_orders(spark, sf_dir).drop("timeload"))
@@ -634,12 +651,25 @@ def doc_terms_sum(spark, sf_dir):
 
 @query(f"with {_DOCS} select {_DOC_COLUMNS} from docs where coalesce(fund_account <> '{ACCOUNT}', true)")
 def doc_delete(spark, sf_dir):
-    return _doc_table(documents.doc_delete(_documents(spark, sf_dir),
-                                           F.col("fund_account") == ACCOUNT))
+    """The account's documents deleted from a stored table, by a record beside it."""
+    stored = documents_table(new_folder(spark, "documents"))
+    stored.write(_documents(spark, sf_dir).withColumn("biz_dt", F.current_timestamp()), 0)
+    deletes.delete_where(spark, stored, "fund_account", [ACCOUNT])
+    return _doc_table(deletes.read_standing(spark, stored).drop("biz_dt"))
 
 
 # --- sinks and runs --------------------------------------------------------
 
+@query(_ACCOUNT_VALUE % "ordinary")
+def sink_outside(spark, sf_dir):
+    """Account totals handed to an outside store by a run that is repeated, and read back."""
+    totals = valuation.account_market_value(_valued(spark, sf_dir, "ordinary"))
+    store = outside.FolderStore(new_folder(spark, "outside"))
+    for _ in range(2):
+        outside.write_outside(totals, store, RUN_DATE)
+    return as_doubles(store.read(spark))
+
+
 @query(_STOCK_VALUE)
 def sink_keyed(spark, sf_dir):
     result = valuation.stock_market_value(_valued(spark, sf_dir), "book")

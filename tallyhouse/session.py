@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,7 @@ SETTINGS = {
 }
 
 _local_root: str | None = None
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "tallyhouse", **overrides: str) -> SparkSession:
@@ -52,3 +55,20 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path (not yet created) below :func:`shared_root`."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application, for the sinks whose
+    code runs there; executors need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(), "tallyhouse_package.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)

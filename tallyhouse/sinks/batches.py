@@ -93,24 +93,29 @@ class BatchTable:
         due = [b for b in self._batches(spark) if manifest["upto"] < b < batch_id]
         return len(due) >= self.every and self.fold(spark, batch_id)
 
-    def fold(self, spark: SparkSession, before: int) -> bool:
-        """Fold all batches below ``before``, which must be committed. False if there are none."""
+    def fold(self, spark: SparkSession, before: int, whole: bool = False) -> bool:
+        """Fold all batches below ``before``, which must be committed. False if there are none.
+
+        With ``whole`` every run is folded with them, into one.
+        """
         number, manifest = self._manifest(spark)
         due = [b for b in self._batches(spark) if manifest["upto"] < b < before]
-        if not due:
+        if not due and not whole:
             return False
+        upto = due[-1] if due else manifest["upto"]
         runs, level = list(manifest["runs"]), 1
         sources, replaced = [self._folder(b) for b in due], []
-        while sum(run["level"] == level for run in runs) >= self.fan - 1:  # with the new one there are ``fan``
+        # With the new one there are ``fan`` runs of a level.
+        while runs if whole else sum(run["level"] == level for run in runs) >= self.fan - 1:
             merged = [run for run in runs if run["level"] == level]
             runs = [run for run in runs if run["level"] != level]
             replaced += [run["name"] for run in merged]
             sources += [f"{self.path}/{RUNS}/{run['name']}" for run in merged]
             level += 1
-        name = f"level-{level}-{due[-1]:012d}-{uuid.uuid4().hex[:8]}"
+        name = f"level-{level}-{upto:012d}-{uuid.uuid4().hex[:8]}"
         rows = self.combine(self._read(spark, sources)).select(*self.schema.fieldNames())
         rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys).write.parquet(f"{self.path}/{RUNS}/{name}")
-        new = {"upto": due[-1], "runs": [*runs, {"name": name, "level": level}], "replaced": replaced, "from": manifest["upto"]}
+        new = {"upto": upto, "runs": [*runs, {"name": name, "level": level}], "replaced": replaced}
         pointers.advance(spark, self.path, number + 1, json.dumps(new))
         # What the fold before this one replaced, and runs that no note names.
         known = {run["name"] for run in new["runs"]} | set(replaced)

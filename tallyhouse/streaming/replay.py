@@ -12,6 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 SLICE_ROWS, LEAST_SLICES = 2_000_000, 3
 
 
+def slices_of(messages: DataFrame, slices: int) -> list[DataFrame]:
+    """``messages`` in consecutive ranges of the message time, cut at its quantiles; a
+    missing time comes first. Equal times stay together, so there may be fewer."""
+    time = F.coalesce(F.unix_micros("message_time"), F.lit(0))
+    shares = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(messages.agg(F.percentile_approx(time, shares, 10_000)).first()[0] or [])) if shares else []
+    bounds = zip([None, *cuts], [*cuts, None], strict=True)
+    return [messages.filter((F.lit(True) if low is None else time > low) & (F.lit(True) if high is None else time <= high))
+            for low, high in bounds]
+
+
 def replay(messages: DataFrame, inbox: str, start: Callable[[], StreamingQuery],
            slices: int | None = None) -> list[StreamingQuery]:
     """Feed ``messages`` to a stream in consecutive ranges of the message time.
@@ -22,17 +33,11 @@ def replay(messages: DataFrame, inbox: str, start: Callable[[], StreamingQuery],
     a restart. There are as many ranges as keep one at SLICE_ROWS messages, cut at
     quantiles of the times.
     """
-    time = F.coalesce(F.unix_micros("message_time"), F.lit(0))
     count = messages.count()
     if not count:
         raise ValueError("no messages to replay")
-    slices = slices or max(LEAST_SLICES, -(-count // SLICE_ROWS))
-    shares = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(messages.agg(F.percentile_approx(time, shares, 10_000)).first()[0])) if shares else []
     runs = []
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        part = messages if low is None else messages.filter(time > low)
-        part = part if high is None else part.filter(time <= high)
+    for part in slices_of(messages, slices or max(LEAST_SLICES, -(-count // SLICE_ROWS))):
         part.write.mode("append").parquet(inbox)
         runs.append(start())
         runs[-1].awaitTermination()
