@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import events
 
-#: Buckets of a new table. Some 100 million keys a bucket are a sorted file of 2 GB.
+#: Buckets of a new table: at least the shuffle partitions of the runs, or the planner
+#: shuffles both sides for the sake of more tasks. Some 100 million keys a bucket are a sorted file of 2 GB.
 BUCKETS = 200
 
 
@@ -37,8 +38,7 @@ class SeenKeys:
         """First orders whose key no other run has brought; joined by merging, bucket by bucket."""
         spark = orders.sparkSession
         before = spark.table(self.name).filter(F.col("run") != run).select("position_str")
-        fresh = events.first_seen_orders(orders).repartition(self.buckets, "position_str")
-        return fresh.join(before.hint("merge"), "position_str", "left_anti")
+        return events.first_seen_orders(orders).join(before.hint("merge"), "position_str", "left_anti")
 
     def add(self, fresh: DataFrame, run: str) -> None:
         """Note the keys of a run. Rows are dealt as the buckets are, so that a task writes few files."""

@@ -18,7 +18,7 @@ def orders_of(spark, *messages):
 
 
 def test_seen_keys_over_three_runs(spark, tmp_path):
-    keys = seen.SeenKeys("seen_test", str(tmp_path / "keys"), buckets=3)
+    keys = seen.SeenKeys("seen_test", str(tmp_path / "keys"), buckets=8)
     keys.create(spark)
     batches = [("p", "q", "p"), ("q", "r"), ("s", "p", "r", "t")]
     found = []
