@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import itertools
 import os
 import zlib
 from collections.abc import Iterator, Sequence
@@ -33,7 +34,10 @@ TASK_PIECES = 200_000
 CACHED_WORDS = 700_000
 
 #: Stretches that are encoded in one call, whose results are held at once.
-BLOCK_WORDS = 4000
+BLOCK_WORDS = 1000
+
+#: Functions of the second family that the bound tries.
+ROUNDINGS = 60
 
 #: Partitions whose open bins meet in one task of the next round.
 FAN_IN = 32
@@ -64,10 +68,21 @@ class WordIds(dict):
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = list(words)
-        for first in range(0, len(new), BLOCK_WORDS):
-            block = new[first:first + BLOCK_WORDS]
-            for word, found in zip(block, _tokenizer(self.path).encode_batch_fast(block, add_special_tokens=False), strict=True):
-                self[word] = np.array(found.ids, "<u4").tobytes()
+        tokenizer = _tokenizer(self.path)
+        marked = [w for w in new if "<|" in w]  # an added token may take the blanks beside it
+        for word in marked:
+            self[word] = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        plain = [w for w in new if "<|" not in w] if marked else new
+        for first in range(0, len(plain), BLOCK_WORDS):
+            block = plain[first:first + BLOCK_WORDS]
+            # One text with a blank between the stretches; a token belongs to the one it starts in.
+            found = tokenizer.encode(" ".join(block), add_special_tokens=False)
+            starts = np.fromiter(itertools.chain.from_iterable(found.offsets), np.int64, 2 * len(found.ids))[::2]
+            ends = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in block])).tolist()
+            body, at = np.array(found.ids, "<u4").tobytes(), 0
+            for word, end in zip(block, ends, strict=True):
+                self[word] = body[4 * at:4 * end]
+                at = end
 
 
 @functools.lru_cache(maxsize=2)
@@ -106,6 +121,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, room: int = 4096, end: int = 1,
                     yield from cut(held)
                     held, size = [], 0
             yield from cut(held)
+            _word_ids(tokenizer_path).clear()  # the worker goes on to other stages
         yield from batches_of(out(), schema)
 
     return id_text(docs, id_col, text_col).mapInArrow(
@@ -113,8 +129,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, room: int = 4096, end: int = 1,
 
 
 def lower_bound(lengths: np.ndarray, room: int) -> int:
-    """Bins that any packing needs: the best of the dual feasible functions that drop
-    items up to k, count those above room - k as whole bins, and add up the rest."""
+    """Bins that any packing needs: the best of two families of dual feasible functions.
+
+    The first drops items up to k, counts those above room - k as whole bins, and adds up
+    the rest. The second rounds (k + 1) times an item down to whole bins and counts each as
+    a k-th, but leaves items that are an exact (k + 1)-th of a bin, or several, as they are:
+    so of items a little above a third no three share a bin.
+    """
     if not len(lengths):
         return 0
     counts = np.bincount(lengths, minlength=room + 1)
@@ -123,7 +144,12 @@ def lower_bound(lengths: np.ndarray, room: int) -> int:
     cuts = np.arange(room // 2 + 1)
     whole = number[room] - number[room - cuts]
     middle = mass[room - cuts] - np.where(cuts > 0, mass[np.maximum(cuts - 1, 0)], 0)
-    return int((whole + -(-middle // room)).max())
+    best = int((whole + -(-middle // room)).max())
+    sizes = np.flatnonzero(counts)
+    k = np.arange(1, ROUNDINGS + 1)[:, None]
+    parts = (k + 1) * sizes
+    weight = np.where(parts % room == 0, k * sizes, parts // room * room)  # of k * room to a bin
+    return max(best, int((-(-(weight * counts[sizes]).sum(1) // (k[:, 0] * room))).max()))
 
 
 def best_fit(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
