@@ -8,11 +8,12 @@ from helpers import plan
 import __spark_entry__ as entry
 from tallyhouse.functions import rules
 from tallyhouse.plans import registry
+from tallyhouse.sinks.keyed import lookup
 from tallyhouse.sources.tables import scan_table
 
 STREAMS = {"entrust_first_seen_stream", "entrust_per_second_stream", "bank_transfer_stream",
            "offset_progress", "run_log"}
-PLANNED = sorted(set(entry.queries()) - STREAMS)
+PLANNED = sorted(set(registry.QUERIES) - STREAMS)
 
 
 @pytest.mark.parametrize("name", PLANNED)
@@ -46,10 +47,17 @@ def test_date_filter_reaches_the_reader(spark, tmp_path):
 
 
 def test_account_filter_moves_below_the_totals(spark, sf_dir):
-    text = plan(registry.kv_lookup(spark, sf_dir), "simple")
+    totals = lookup(registry.account_market_value(spark, sf_dir), fund_account=registry.ACCOUNT, money_type="0")
+    text = plan(totals, "simple")
     assert text.index("HashAggregate") < text.index("cast(o_custkey") and re.search(r"Filter.*o_custkey.* = 7", text)
 
 
+def test_lookup_reads_the_stored_totals_by_key(spark, sf_dir):
+    text = plan(registry.kv_lookup(spark, sf_dir), "simple")
+    assert f"EqualTo(fund_account,{registry.ACCOUNT})" in text and "EqualTo(money_type,0)" in text
+    assert not re.search(r"Exchange|Aggregate|o_custkey", text)
+
+
 def test_income_has_no_join_of_its_inputs(spark, sf_dir):
     text = plan(registry.stock_income_today(spark, sf_dir), "simple")
     above_union = text[:text.index("Union")]
