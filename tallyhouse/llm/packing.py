@@ -16,6 +16,7 @@ import bisect
 import functools
 import itertools
 import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -52,27 +53,105 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+@functools.lru_cache(maxsize=2)
+def _ends_of_words(path: str) -> np.ndarray | None:
+    """Whether each id ends a pre-token; None if the vocabulary does not mark that."""
+    tokenizer = _tokenizer(path)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    ends[[number for token, number in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+    return ends
+
+
+#: Marks that may stand around the letters of a plain word, which are then pre-tokens of
+#: their own. Not the apostrophe, which may begin a pre-token with letters.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+
+#: Beyond these, letters may change under the vocabulary's normal form.
+_BEYOND_LATIN = re.compile("[^\u0000-\u00ff]")
+
+
+def _encoded(path: str, text: str) -> bytes:
+    return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+class MarkIds(dict):
+    """Ids of runs of marks."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        self.path = path
+
+    def __missing__(self, marks: str) -> bytes:
+        value = self[marks] = _encoded(self.path, marks)
+        return value
+
+
 class WordIds(dict):
     """Ids, as little-endian 32-bit numbers, of stretches of text between blanks.
 
     The vocabulary's pre-tokens and added tokens never span white space, so a stretch is
-    encoded alone; an added token that stands in it is read as the library reads it.
+    encoded alone; an added token that stands in it is read as the library reads it. Where
+    the vocabulary marks the end of a pre-token, a plain word's letters are encoded once in
+    lower case, as the vocabulary reads them, whatever marks stand around them.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.path = path
+        self.letters: dict[str, bytes] = {}
+        self.marks = MarkIds(path)
+
+    def clear(self) -> None:
+        super().clear()
+        self.letters.clear()
+        self.marks.clear()
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = list(words)
+        if _ends_of_words(self.path) is None:
+            self._learn_any(new)
+            return
+        rest, plain, cores = [], [], []
+        for word in new:
+            core = word.strip(_MARKS)
+            if core.isalpha() and "<|" not in word and (core.isascii() or not _BEYOND_LATIN.search(core)):
+                plain.append(word)
+                cores.append(core.lower())
+            else:
+                rest.append(word)
+        self._learn_any(rest)
+        self._learn_letters(list(set(cores).difference(self.letters)))
+        letters, marks = self.letters, self.marks
+        for word, core in zip(plain, cores, strict=True):
+            if len(word) == len(core):
+                self[word] = letters[core]
+            else:
+                at = len(word) - len(word.lstrip(_MARKS))
+                self[word] = marks[word[:at]] + letters[core] + marks[word[at + len(core):]]
+
+    def _learn_letters(self, cores: list[str]) -> None:
+        """One text with a blank between the words; each ends with its one token that ends a word."""
+        for first in range(0, len(cores), BLOCK_WORDS):
+            block = cores[first:first + BLOCK_WORDS]
+            found = _tokenizer(self.path).encode_batch_fast([" ".join(block)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            body, at = ids.tobytes(), 0
+            for core, end in zip(block, (4 * np.flatnonzero(_ends_of_words(self.path)[ids]) + 4).tolist(), strict=True):
+                self.letters[core] = body[at:end]
+                at = end
+
+    def _learn_any(self, new: list[str]) -> None:
         tokenizer = _tokenizer(self.path)
-        marked = [w for w in new if "<|" in w]  # an added token may take the blanks beside it
-        for word in marked:
-            self[word] = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        plain = [w for w in new if "<|" not in w] if marked else new
+        for word in new:
+            if "<|" in word:  # an added token may take the blanks beside it
+                self[word] = _encoded(self.path, word)
+        plain = [w for w in new if "<|" not in w]
         for first in range(0, len(plain), BLOCK_WORDS):
             block = plain[first:first + BLOCK_WORDS]
             # One text with a blank between the stretches; a token belongs to the one it starts in.

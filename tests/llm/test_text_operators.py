@@ -344,3 +344,17 @@ def test_toxic_grammar(spark, docs, empty):
     assert toxicity.scored(empty, learned).count() == 0
     nothing = toxicity.learn(rows.drop("toxic"), rows.select("doc_id", "toxic").limit(0))
     assert all(score < 0.5 for (score,) in by_id(toxicity.scored(rows, nothing)).values())
+
+
+def test_packing_ids_are_the_library_s(spark):
+    """Plain words with marks about them, and every form that must not be taken for one."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["(Word) word, WORD*** --word-- \"word\" _a_ `x` {y}", "it's 'Tis don't'll 'a' x's", "Éá İstanbul ÀÉ ÿ ß ǅ éa",
+             "3a a3 12 \x02 ª º µ × a×b á", "<|endoftext|>a, b<|endoftext|> <| |> <|a|>", "@u\tv\rw,\nx  y", "", "  "]
+    for known in (packing.WordIds(path), packing._word_ids(path)):
+        for text in [*texts, *texts]:
+            words = text.replace("\n", " ").split(" ")
+            known.learn(set(words))
+            assert b"".join(map(known.__getitem__, words)) == np.array(
+                tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
