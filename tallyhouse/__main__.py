@@ -79,13 +79,19 @@ def orders_job(spark: SparkSession, args: argparse.Namespace) -> None:
                         args.every, args.forget_after).awaitTermination()
 
 
+def seconds_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    orders.start_second_totals(_messages(spark, args, "earliest"), args.out, args.checkpoint, args.late_after,
+                               args.ahead, args.skew, args.every).awaitTermination()
+
+
 def _table_job(job) -> Callable[[SparkSession, argparse.Namespace], None]:
     start = {transfers: transfers.start_transfers, documents: documents.start_documents,
              rejects: rejects.start_rejects}[job]
 
     def run(spark: SparkSession, args: argparse.Namespace) -> None:
+        more = {"late_after": args.late_after, "ahead": args.ahead} if job is rejects else {}
         start(_messages(spark, args, "earliest", job.GROUP), args.out, args.checkpoint, args.every,
-              args.ledger).awaitTermination()
+              args.ledger, **more).awaitTermination()
     return run
 
 
@@ -121,7 +127,13 @@ def parser() -> argparse.ArgumentParser:
     for sub in tables:
         sub.add_argument("--every", default="10 seconds")
         sub.add_argument("--ledger", help="table of the offsets read; a job without a checkpoint starts from it")
-    for sub in (order_job, *tables):
+    seconds = job("seconds", seconds_job, "count and sum orders per second by their own times", *stream, "out")
+    seconds.add_argument("--every", default="5 seconds")
+    seconds.add_argument("--skew", type=int, default=60, help="seconds that partitions may be read apart")
+    for sub, needed in ((seconds, True), (tables[-1], False)):
+        sub.add_argument("--late-after", type=int, required=needed, help="an order is late this many seconds after its time")
+        sub.add_argument("--ahead", type=int, default=0, help="an order is early this many seconds before its time")
+    for sub in (order_job, seconds, *tables):
         sub.add_argument("--per-trigger", type=int, help="most messages per micro-batch")
     return top
 

@@ -132,6 +132,11 @@ def entrust_time() -> Column:
     return F.substring(F.concat(F.col("init_date"), F.lpad("curr_time", 9, "0")), 1, 14)
 
 
+def second_time(second: Column) -> Column:
+    """A second as :func:`entrust_time` writes it as a time of the session's zone; null if it is none."""
+    return F.try_to_timestamp(second, F.lit("yyyyMMddHHmmss"))
+
+
 def quote_symbol() -> Column:
     """Instrument name at the quote service; null for an unlisted exchange."""
     exchange = F.col("exchange_type")

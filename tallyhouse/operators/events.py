@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
@@ -40,17 +40,34 @@ def parse_events(messages: DataFrame) -> DataFrame:
                               for c in ("business_balance", "occur_balance")})
 
 
-def rejected_events(events: DataFrame) -> DataFrame:
+def untimely(second: Column, late_after: int, ahead: int) -> Column:
+    """Why an order of ``second`` cannot take part in totals by that time, null if it can.
+
+    It is late if its message came more than ``late_after`` seconds after its own time, and
+    early if its own time is more than ``ahead`` seconds after the message's. Each row is
+    judged by itself, so the verdict is the same however the stream is cut into batches, and
+    the job that counts the others and the job that lists these always agree.
+    """
+    time = rules.second_time(second)
+    lag = F.unix_micros("message_time") - F.unix_micros(time)
+    return (F.when(time.isNull(), "no time").when(F.col("message_time").isNull(), "no message time")
+            .when(lag > late_after * 1_000_000, "late").when(lag < -ahead * 1_000_000, "early"))
+
+
+def rejected_events(events: DataFrame, late_after: int | None = None, ahead: int = 0) -> DataFrame:
     """Messages that the order and transfer jobs want and cannot use: where each came from
     and why, with the text of those that do not parse.
 
     Orders and transfers without a key, and orders without a time, are left out of their
-    tables too: all rows without a key would pass for one.
+    tables too: all rows without a key would pass for one. With ``late_after`` the orders
+    that the totals by event time leave out are listed as well.
     """
     is_order = rules.is_order_event()
     reason = (F.when(F.col("corrupt").isNotNull(), "unreadable")
               .when((is_order | rules.is_transfer_event()) & F.col("position_str").isNull(), "no key")
               .when(is_order & rules.entrust_time().isNull(), "no time"))
+    if late_after is not None:
+        reason = reason.when(is_order, untimely(rules.entrust_time(), late_after, ahead))
     return (events.select("topic", "partition", "offset", reason.alias("reason"), "corrupt")
             .filter("reason is not null"))
 
@@ -91,6 +108,30 @@ def per_second(orders: DataFrame) -> DataFrame:
                     "entrust_num", F.col("balance").cast("decimal(38,4)").alias("balance")))
 
 
+def timely_orders(orders: DataFrame, late_after: int, ahead: int) -> DataFrame:
+    """Orders whose messages came in time, with that time as ``order_ts``."""
+    second = F.col("entrust_time")
+    return orders.filter(untimely(second, late_after, ahead).isNull()).withColumn("order_ts", rules.second_time(second))
+
+
+def windowed_totals(orders: DataFrame) -> DataFrame:
+    """Number and value of the orders of each second of ``order_ts``, by windows that chain.
+
+    First the orders of one key and second are reduced to the first of them, then those of
+    a second are added up. Both are aggregates over the same windows, so a stream closes and
+    forgets them together once the watermark has passed, and a key or a second with much of
+    the rows sends one row a task to either. A key that names two seconds counts in each.
+    """
+    first = F.min_by("balance", F.struct(*schemas.ORDER))
+    once = (orders.groupBy(F.window("order_ts", "1 second").alias("_second"), "position_str")
+            .agg(first.alias("balance")))
+    totals = (once.groupBy(F.window(F.window_time("_second"), "1 second").alias("_second"))
+              .agg(F.count("*").alias("entrust_num"), F.sum("balance").alias("balance")))
+    return totals.select(F.date_format("_second.start", "yyyyMMdd").alias("init_date"),
+                         F.date_format("_second.start", "HHmmss").alias("load_time"),
+                         "entrust_num", F.col("balance").cast("decimal(38,4)").alias("balance"))
+
+
 def transfer_events(events: DataFrame) -> DataFrame:
     """Bank transfers of the fund journal.
 

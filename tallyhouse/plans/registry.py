@@ -539,6 +539,41 @@ def entrust_per_second_stream(spark, sf_dir):
     return as_doubles(orders.read_totals(spark, totals))
 
 
+#: Seconds after which an order of the fixture is late, and that its slices may be apart.
+_LATE, _SKEW = 480, 60
+_TIMED = f"""{_ORDERS}, timed as (
+  select *, strptime(entrust_time, '%Y%m%d%H%M%S') as order_ts from ord), in_time as (
+  select * from timed where epoch_us(ts) - epoch_us(order_ts) between 0 and {_LATE} * 1000000)"""
+
+
+@query(f"""with {_TIMED}, once as (
+  select order_ts, position_str, first(balance order by ts, topic, "partition", "offset") as balance
+  from in_time group by order_ts, position_str)
+select strftime(order_ts, '%Y%m%d') as init_date, strftime(order_ts, '%H%M%S') as load_time,
+       count(*) as entrust_num, cast(sum(balance) as double) as balance
+from once where order_ts + interval 1 second <= (select max(order_ts) from in_time) - interval {_LATE + _SKEW} second
+group by order_ts""")
+def entrust_per_second_windowed(spark, sf_dir):
+    root = new_folder(spark, "seconds")
+    inbox, path = f"{root}/inbox", f"{root}/table"
+    replay.replay(fixtures.change_messages(spark, sf_dir), inbox,
+                  lambda: orders.start_second_totals(file_messages(spark, inbox), path, f"{root}/checkpoint",
+                                                     _LATE, skew=_SKEW, every=None))
+    return as_doubles(orders.read_totals(spark, path))
+
+
+@query(f"""with {_TIMED}
+select topic, "partition", "offset", 'late' as reason from timed where epoch_us(ts) - epoch_us(order_ts) > {_LATE} * 1000000""")
+def entrust_late_stream(spark, sf_dir):
+    """The orders that the totals by event time leave out."""
+    root = new_folder(spark, "late")
+    inbox, path = f"{root}/inbox", f"{root}/table"
+    replay.replay(fixtures.change_messages(spark, sf_dir), inbox,
+                  lambda: rejects.start_rejects(file_messages(spark, inbox), path, f"{root}/checkpoint", every=None,
+                                                late_after=_LATE))
+    return rejects.read_rejects(spark, path).drop("corrupt")
+
+
 def _run_transfers(spark, sf_dir):
     root = new_folder(spark, "transfers")
     inbox, path, book = (f"{root}/{part}" for part in ("inbox", "table", "ledger"))

@@ -91,6 +91,37 @@ def start_orders(messages: DataFrame, seen_path: str, totals_path: str, checkpoi
                       spark, state_partitions)
 
 
+def start_second_totals(messages: DataFrame, path: str, checkpoint: str, late_after: int, ahead: int = 0,
+                        skew: int = 60, every: str | None = "5 seconds",
+                        state_partitions: int | None = None) -> StreamingQuery:
+    """Totals of each second by the orders' own times, in one query and with bounded state.
+
+    Orders whose message came more than ``late_after`` seconds after their own time, or more
+    than ``ahead`` seconds before it, are left out here and listed by the rejects stream
+    (``late_after``, ``ahead`` there). A second is written once, when no order in time can
+    still come: ``late_after + ahead + skew`` seconds after it, ``skew`` being how far the
+    partitions' message times may be apart while they are read. With messages further out
+    of order than that, the engine drops the orders of seconds already written and counts
+    them in its progress (``numRowsDroppedByWatermark``). Times without a zone are of the session's.
+
+    State holds one row per key and second not yet written, so it grows with the rate of
+    orders and not with their history. A repeated batch replaces its folder.
+    """
+    spark = messages.sparkSession
+    jobs.prepare_state(spark)
+    timely = events.timely_orders(events.order_events(events.parse_events(messages)), late_after, ahead)
+    closed = events.windowed_totals(timely.withWatermark("order_ts", f"{late_after + ahead + skew} seconds"))
+    totals = totals_table(path)
+    origin = jobs.origin(spark, path, checkpoint, [totals])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        totals.write(batch, origin + batch_id)
+        totals.fold_before(spark, origin + batch_id)
+
+    return jobs.start(closed.writeStream.outputMode("append").foreachBatch(write), checkpoint, every,
+                      spark, state_partitions)
+
+
 def read_seen(spark: SparkSession, seen_path: str) -> DataFrame:
     """First order of every key seen so far."""
     return seen_table(seen_path).read(spark)

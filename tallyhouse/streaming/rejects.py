@@ -19,13 +19,14 @@ def rejects_table(path: str) -> BatchTable:
 
 
 def start_rejects(messages: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds",
-                  ledger: str | None = None) -> StreamingQuery:
+                  ledger: str | None = None, late_after: int | None = None, ahead: int = 0) -> StreamingQuery:
     """Run the rejects stream beside the job that reads the same messages.
 
+    With ``late_after`` it also lists what the totals by event time leave out.
     It has its own checkpoint and keeps no state; a repeated batch replaces its folder.
     """
     def rejected(batch: DataFrame) -> DataFrame:
-        return events.rejected_events(events.parse_events(batch))
+        return events.rejected_events(events.parse_events(batch), late_after, ahead)
 
     return jobs.start_table(messages, rejects_table(path), rejected, checkpoint, every, GROUP, ledger)
 

@@ -2,6 +2,7 @@
 
 import glob
 import os
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from helpers import rows
@@ -16,7 +17,7 @@ from tallyhouse.plans import fixtures
 from tallyhouse.sinks import batches
 from tallyhouse.sinks.batches import BatchTable
 from tallyhouse.sources.messages import file_messages, kafka_options, saved_offsets
-from tallyhouse.streaming import documents, ledger, orders, transfers
+from tallyhouse.streaming import documents, ledger, orders, rejects, transfers
 from tallyhouse.streaming.replay import replay
 
 
@@ -246,3 +247,88 @@ def test_kafka_offsets_round_trip(spark):
     assert options["startingOffsets"] == '{"t": {"0": 9, "1": 7}, "u": {"0": 3}}'
     assert options["maxOffsetsPerTrigger"] == "200"
     assert kafka_options("host:1", "t")["startingOffsets"] == "latest"
+
+
+class Seconds:
+    """Totals by event time: late after 60 seconds, slices at most 30 apart."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, str(root)
+        self.inbox, self.table, self.late, self.checkpoint = (f"{self.root}/{p}" for p in ("inbox", "table", "late", "checkpoint"))
+
+    def run(self, *messages, ahead=0):
+        if messages:
+            self.spark.createDataFrame(list(messages), schemas.MESSAGE).coalesce(1).write.mode("append").parquet(self.inbox)
+        query = orders.start_second_totals(file_messages(self.spark, self.inbox), self.table, self.checkpoint, 60,
+                                           ahead=ahead, skew=30, every=None)
+        query.awaitTermination()
+        self.dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+        return self.totals()
+
+    def totals(self):
+        return [(time, number, None if value is None else float(value)) for time, number, value in
+                rows(orders.read_totals(self.spark, self.table), "load_time", "entrust_num", "balance")]
+
+    def rejected(self, ahead=0):
+        rejects.start_rejects(file_messages(self.spark, self.inbox), self.late, f"{self.checkpoint}-late", every=None,
+                              late_after=60, ahead=ahead).awaitTermination()
+        return rows(rejects.read_rejects(self.spark, self.late), "offset", "reason")
+
+
+def order(offset, second, lag=1, key=None, value="10", **info):
+    """An order of 09:30 plus ``second`` seconds whose message comes ``lag`` seconds later."""
+    begin = datetime(2024, 1, 2, 9, 30, tzinfo=timezone.utc)
+    clock = (begin + timedelta(seconds=second)).strftime("%-H%M%S") + "123"
+    return message(offset, at=begin + timedelta(seconds=second + lag),
+                   **{"POSITION_STR": key or f"k{offset}", "CURR_TIME": clock, "BUSINESS_BALANCE": value, **info})
+
+
+def test_seconds_are_written_once_when_they_are_closed(spark, tmp_path):
+    job = Seconds(spark, tmp_path)
+    assert job.run(order(1, 0), order(2, 0, value="2.5"), order(3, 1)) == []
+    # Second 0 ends at 1 and second 1 at 2; the watermark is 90 behind the latest order.
+    assert job.run(order(4, 91)) == [("093000", 2, 12.5)]
+    assert job.run(order(5, 92), order(6, 3, lag=60)) == [("093000", 2, 12.5), ("093001", 1, 10.0)]
+    assert job.run(order(7, 300)) == [("093000", 2, 12.5), ("093001", 1, 10.0), ("093003", 1, 10.0),
+                                      ("093131", 1, 10.0), ("093132", 1, 10.0)]
+    assert job.dropped == 0
+
+
+def test_seconds_leave_late_and_early_orders_to_the_rejects(spark, tmp_path):
+    job = Seconds(spark, tmp_path)
+    messages = [order(1, 0, lag=60), order(2, 0, lag=61), order(3, 0, lag=-5), order(4, 0, lag=-6), order(5, 0, CURR_TIME="99999999"),
+                message(6, at=None), order(7, 0, POSITION_STR=None), order(8, 500)]
+    assert job.run(*messages, ahead=5) == [("093000", 2, 20.0)]
+    assert job.rejected(ahead=5) == [(2, "late"), (4, "early"), (5, "no time"), (6, "no message time"), (7, "no key")]
+
+
+def test_seconds_count_a_key_once_a_second(spark, tmp_path):
+    job = Seconds(spark, tmp_path)
+    job.run(order(5, 0, lag=3, key="a", value="7"), order(4, 0, key="b", value=None))
+    # An earlier message of the same order in a later batch, a repeat, and the key's next second.
+    job.run(order(1, 0, lag=2, key="a", value="9"), order(6, 0, lag=4, key="a"), order(7, 1, key="a", value="1"))
+    assert job.run(order(9, 300)) == [("093000", 2, 9.0), ("093001", 1, 1.0)]
+
+
+def test_seconds_do_not_depend_on_the_batches(spark, tmp_path):
+    everything = [order(n, 7 * (n // 4) + n % 3, lag=n * 13 % 70, key=f"k{n % 5}", value=str(n)) for n in range(60)]
+    everything = sorted(everything, key=lambda m: m[4]) + [order(99, 2000)]
+    found = []
+    for number, cuts in enumerate([(0, 61), (0, 20, 61), (0, 7, 8, 33, 61)]):
+        job = Seconds(spark, tmp_path / str(number))
+        for low, high in zip(cuts, cuts[1:]):
+            job.run(*everything[low:high])
+            assert job.dropped == 0
+        found.append((job.totals(), job.rejected()))
+    assert found[0] == found[1] == found[2]
+    assert found[0][0] and len(found[0][1]) == sum(n * 13 % 70 > 60 for n in range(60))
+
+
+def test_seconds_of_a_repeated_batch_are_written_once(spark, tmp_path):
+    job = Seconds(spark, tmp_path)
+    job.run(order(1, 0), order(2, 0))
+    want = job.run(order(3, 300))
+    last = max(glob.glob(f"{job.checkpoint}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    for path in [last, *glob.glob(f"{os.path.dirname(last)}/.{os.path.basename(last)}.crc")]:
+        os.remove(path)
+    assert job.run() == want == [("093000", 2, 20.0)]
