@@ -3,9 +3,9 @@
 Equal vectors of a label are one class. The classes of a label are dealt to shards of
 bounded size; each shard's hierarchical graph is built once and stored. Blocks of
 classes then query every shard of their label: a beam descends the layers, widens at
-the bottom one, and spreads over the graph for as long as it finds links. An audit
-compares some of the block's queries with brute force over the shard; while it misses
-links the beam is doubled, and beyond the shard's size brute force takes the block.
+the bottom one, and spreads over its links, in either direction, for as long as it finds
+links. An audit compares some of the block's queries with brute force over the shard;
+while it misses links the beam is doubled, and beyond the shard's size brute force takes the block.
 Every reported link is verified by cosine in double precision.
 
 Vectors that are null, empty or zero, or hold null or non-finite components, and rows
@@ -16,6 +16,7 @@ take part. Classes are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,8 @@ SHARD_ROWS, BLOCK_ROWS = 8192, 512
 #: Neighbours kept at a node, beam of construction, first beam of a query.
 NEIGHBOURS, BUILD_BEAM, QUERY_BEAM = 16, 48, 64
 
-#: One query in so many is audited, and the recall that an audit asks for.
+#: One query in so many is audited, and the mean recall of a query that an audit asks for,
+#: so that a query with one link weighs as much as one with thousands.
 AUDIT_EVERY, AUDIT_RECALL = 8, 0.999
 
 
@@ -43,6 +45,23 @@ class Layer:
     def __init__(self, size: int) -> None:
         self.near = np.full((size, 2 * NEIGHBOURS), -1, np.int32)
 
+    @functools.cached_property
+    def back(self) -> tuple[np.ndarray, np.ndarray]:
+        """The links the other way: nodes that link to a node, and where each node's begin."""
+        source, slot = np.nonzero(self.near >= 0)
+        target = self.near[source, slot]
+        order = np.argsort(target, kind="stable")
+        return source[order], np.searchsorted(target[order], np.arange(len(self.near) + 1))
+
+    def beside(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``nodes``, node linked with it in either direction)."""
+        place, slot = np.nonzero(self.near[nodes] >= 0)
+        sources, begin = self.back
+        count = begin[nodes + 1] - begin[nodes]
+        behind = np.arange(count.sum()) + np.repeat(begin[nodes] - np.cumsum(count) + count, count)
+        return (np.concatenate([place, np.repeat(np.arange(len(nodes)), count)]),
+                np.concatenate([self.near[nodes[place], slot], sources[behind]]))
+
     def search(self, vectors: np.ndarray, queries: np.ndarray, entry: np.ndarray, beam: int,
                spread: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, cosines, seen) of the ``beam`` best nodes found for each query, all queries in
@@ -78,14 +97,16 @@ class Layer:
         return ids, scores, seen
 
     def _spread(self, vectors, queries, ids, scores, seen, least: float) -> None:
-        """Follow the graph from every node of cosine ``least`` to all such nodes it leads to."""
+        """Follow the links of every node of cosine ``least``, in either direction, to all such
+        nodes they lead to. A node among many near copies keeps links to a few of them, and
+        may be kept by none; the links backwards find it."""
         query, slot = np.nonzero(scores >= least)
         node = ids[query, slot]
         while len(query):
-            found = self.near[node].ravel()
-            query = np.repeat(query, self.near.shape[1])
-            new = (found >= 0) & ~seen[query, found]
-            pairs = np.unique(query[new].astype(np.int64) * len(self.near) + found[new])
+            place, found = self.beside(node)
+            reached = query[place]
+            new = ~seen[reached, found]
+            pairs = np.unique(reached[new].astype(np.int64) * len(self.near) + found[new])
             query, node = pairs // len(self.near), pairs % len(self.near)
             seen[query, node] = True
             good = np.einsum("ij,ij->i", queries[query], vectors[node]) >= least
@@ -180,7 +201,8 @@ class Graph:
         truth = queries[audited] @ self.vectors.T >= least
         while beam < n:
             _, _, seen = self.layers[0].search(self.vectors, queries, self._entry(queries), beam, spread=least)
-            if (seen[audited] & truth).sum() >= AUDIT_RECALL * truth.sum():
+            found = (seen[audited] & truth).sum(1) / np.maximum(truth.sum(1), 1)
+            if found[truth.any(1)].sum() >= AUDIT_RECALL * truth.any(1).sum():
                 query, node = np.nonzero(seen)
                 good = np.zeros(len(query), bool)
                 for at in range(0, len(query), 1 << 17):

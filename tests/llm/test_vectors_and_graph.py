@@ -66,3 +66,53 @@ def test_graph_finds_what_brute_force_finds(hot):
     truth = points @ points.T >= 0.6
     q, node = graph.links(points, 0.6)
     assert truth[q, node].all() and len(q) >= 0.99 * truth.sum()
+
+
+def test_hot_group_is_found_by_the_first_beam(monkeypatch):
+    """A sixth of the rows in one group of near copies, which keep links to few of their like."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(1800, 32))
+    rows[:300] = rows[0] + 0.02 * rng.normal(size=(300, 32))
+    rows[300:400] = rows[400:500] + 0.05 * rng.normal(size=(100, 32))
+    rows = rng.permutation(rows / np.linalg.norm(rows, axis=1, keepdims=True))
+    graph = vectors.Graph.build(rows)
+    beams, search = [], vectors.Layer.search
+
+    def watched(layer, *args, **options):
+        if "spread" in options:
+            beams.append(args[3])
+        return search(layer, *args, **options)
+
+    monkeypatch.setattr(vectors.Layer, "search", watched)
+    truth = rows @ rows.T >= 0.93
+    found = np.zeros(truth.shape, bool)
+    for first in range(0, 1800, 600):
+        query, node = graph.links(rows[first:first + 600], 0.93)
+        found[first + query, node] = True
+    assert beams == [vectors.QUERY_BEAM] * 3
+    assert not (found & ~truth).any()
+    assert ((found & truth).sum(1) / truth.sum(1)).mean() >= 0.999
+
+
+def test_audit_weighs_queries_alike(monkeypatch):
+    """One audited query that misses its only link widens the beam, whatever a hot group finds."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(1200, 32))
+    rows[:600] = rows[0] + 0.02 * rng.normal(size=(600, 32))
+    rows[601] = rows[600]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    graph = vectors.Graph.build(rows)
+    beams, search = [], vectors.Layer.search
+
+    def blind(layer, *args, **options):
+        ids, scores, seen = search(layer, *args, **options)
+        if "spread" in options:
+            beams.append(args[3])
+            if len(beams) == 1:
+                seen[-1, 601] = False
+        return ids, scores, seen
+
+    monkeypatch.setattr(vectors.Layer, "search", blind)
+    monkeypatch.setattr(vectors, "AUDIT_EVERY", 1)
+    graph.links(rows[np.r_[:100, 600]], 0.93)
+    assert beams[:2] == [vectors.QUERY_BEAM, 2 * vectors.QUERY_BEAM]
