@@ -39,7 +39,9 @@ def stock_income_today(valued: DataFrame, trades: DataFrame, last_day: DataFrame
         return df.select(*_STOCK, currency.alias("money_type"), *amounts)
 
     stacked = reduce(DataFrame.unionByName, map(entries, inputs))
-    totals = stacked.groupBy(*_STOCK, "money_type").agg(*[F.sum(c).alias(c) for c in _AMOUNTS])
+    totals = (stacked.groupBy(*_STOCK, "money_type").agg(*[F.sum(c).alias(c) for c in _AMOUNTS])
+              # What was sold out before today has no row and no part in another's.
+              .filter(F.col("real_asset").isNotNull() | F.col("trade_value").isNotNull()))
     # Held rows come first, lowest currency first; the trade row has no real_asset.
     # Both windows use the one order, so the rows are sorted once.
     ranked = Window.partitionBy(*_STOCK).orderBy(F.col("real_asset").isNull(), "money_type")

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.session import new_folder
 from tallyhouse.sources.tables import scan_table
 
 SHAPES = {
@@ -197,6 +198,28 @@ def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **sources)
 
 
+#: How the shapes of order lines come by the account of a line.
+_LINES = "{lineitem} l join {orders} o on l.l_orderkey = o.o_orderkey"
+
+
+def shapes_of_lines(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Several shapes of order lines, the same rows as :func:`shape` gives one by one.
+
+    Lines and orders are joined once and the columns that the shapes name are written for
+    all of them, so that a line is shuffled to its order once and not once a shape. Totals
+    by account and stock are grouped by the numbers and not by their longer texts.
+    """
+    texts = [SHAPES[name] for name in names]
+    columns = sorted({column for text in texts for column in re.findall(r"\b[lo]\.(\w+)", text.replace(_LINES, ""))})
+    joined = spark.sql(f"select {', '.join(columns)} from {_LINES}",
+                       lineitem=table(spark, sf_dir, "lineitem"), orders=table(spark, sf_dir, "orders"))
+    path = new_folder(spark, "lines")
+    joined.write.parquet(path)
+    lines = scan_table(spark, path, schema=joined.schema)
+    return [spark.sql(text.replace(_LINES, "{lines} l").replace("o.o_", "l.o_")
+                      .replace("group by 1, 2,", "group by l.o_custkey, l.l_partkey,"), lines=lines) for text in texts]
+
+
 def _json_messages(events: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Events as a message source delivers them.
 

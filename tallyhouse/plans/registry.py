@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallyhouse.functions import rules
 from tallyhouse.operators import documents, events, income, pairs, quotes, snapshots, valuation
 from tallyhouse.plans import fixtures
-from tallyhouse.plans.fixtures import shape, table
+from tallyhouse.plans.fixtures import shape, shapes_of_lines, table
 from tallyhouse.plans.valuation_run import run_valuation
 from tallyhouse.session import new_folder
 from tallyhouse.sinks import deletes, outside, seen
@@ -120,8 +120,9 @@ _DOC_COLUMNS = ('index, doc_id, topic, "partition", "offset", fund_account, mone
                 'cast(occur_balance as double) as occur_balance, time_load')
 
 
-def _valued(spark: SparkSession, sf_dir: str, book: str | None = None, **lookup) -> DataFrame:
-    positions = shape(spark, sf_dir, "fx_positions")
+def _valued(spark: SparkSession, sf_dir: str, book: str | None = None, positions: DataFrame | None = None, **lookup) -> DataFrame:
+    if positions is None:
+        positions = shape(spark, sf_dir, "fx_positions")
     if book is not None:
         positions = positions.filter(F.col("book") == book)
     return valuation.position_market_value(positions, shape(spark, sf_dir, "fx_prices"),
@@ -338,9 +339,9 @@ result as (select *, cast(real_asset - trade_value - last_day_asset as decimal(3
 
 
 def _income(spark, sf_dir):
-    trades = valuation.trade_rows_by_book(shape(spark, sf_dir, "fx_trades"))
-    last_day = snapshots.snapshot_rows(shape(spark, sf_dir, "fx_lastday"))
-    return income.stock_income_today(_valued(spark, sf_dir), trades, last_day)
+    positions, trades, last_day = shapes_of_lines(spark, sf_dir, "fx_positions", "fx_trades", "fx_lastday")
+    return income.stock_income_today(_valued(spark, sf_dir, positions=positions), valuation.trade_rows_by_book(trades),
+                                     snapshots.snapshot_rows(last_day))
 
 
 @query(_INCOME + """select book, fund_account, stock_code, money_type, cast(real_asset as double) as real_asset,
