@@ -3,7 +3,8 @@
 A document is the set of its word shingles; equal sets are one class. Two sets of
 sufficient similarity share a shingle among the first few of each in one common order
 (shingles common in a sample come last), so classes meet under those keys, packed by
-chunk and partition. The classes under one key are the leaves of a signature tree:
+chunk and partition. Sets of like size share many of their keys if they link, so that one
+common line makes no pair. The classes under one key are the leaves of a signature tree:
 nodes hold the OR of their members' token bitmaps and the range of their sizes, and a
 dual traversal drops node pairs whose greatest possible overlap is too small.
 
@@ -11,6 +12,8 @@ Under a key with few classes every pair is a pair of leaves. Larger keys go in t
 steps, so that a group of thousands of near copies never makes all its pairs: first
 neighbours by size are verified and connected, then trees are traversed only between
 classes that are not connected yet. All candidate pairs are verified on whole sets.
+Signatures travel with every pair and key, so they are a few bits a shingle; of the
+texts only those travel that a pair still needs.
 
 Documents without words have empty sets and link with nothing. Rows that repeat are one
 class; a component's id is its smallest document id (null only if all its ids are
@@ -42,6 +45,12 @@ LEAF = 8
 #: cut into blocks, which meet in pairs.
 BLOCK_SHINGLES = 1 << 19
 
+#: Bits a shingle of the signatures that travel, at least.
+SIGN_BITS = 2
+
+#: Places that the ids of needed texts are hashed to, 64 a row: at most 131,072 rows are broadcast. Texts of other places stay where they are.
+NEEDED_PLACES = 1 << 23
+
 #: Documents that common shingles are found in. The sample only orders shingles: any order gives the same links.
 SAMPLE_DOCS, COMMON = 5000, 5
 
@@ -73,6 +82,12 @@ class Measure:
     def prefix(self, size: int) -> int:
         return size - -(-self.least * size // 100) + 1
 
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Least number of keys that linked sets of these sizes share. Of the set whose last key comes first
+        in the common order, the shingles up to there that are in the other are among the other's keys."""
+        left, right = (-(-self.least * n // 100) - 1 for n in (a, b))  # shingles behind the keys
+        return np.maximum(1, self.needed(a, b) - np.maximum(left, right))
+
     def needed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Least overlap of linked sets of these sizes."""
         return -(-self.least * (a + b) // (100 + self.least))
@@ -157,7 +172,7 @@ def _keys(rows: DataFrame, measure: Measure, common: np.ndarray) -> DataFrame:
                     bits.append(b"")
                     if len(own) and name not in met:
                         met.add(name)
-                        bits[-1] = bitmap(own).tobytes()
+                        bits[-1] = bitmap(own, SIGN_BITS).tobytes()
                         last = np.zeros(len(own), bool)
                         if len(often):
                             last = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
@@ -193,18 +208,19 @@ def _named(met: DataFrame) -> DataFrame:
     return met.filter(F.col("kind") == NAMES).select("payload").mapInArrow(run, "id long, class long, n long, bits binary")
 
 
-_MET = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("members", pa.int64()),
+_MET = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("need", pa.int64()),
                   ("payload", pa.binary())])
 
 
 def _met(keys: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs to verify (PAIR: classes a, b), members of large keys (CELL: cell a, class b), and NAMES as they came."""
+    """Pairs (PAIR: classes a, b, the keys they share here and must share in all), members of large keys
+    (CELL: cell a, class b), and NAMES as they came. Pairs that meet only under large keys are all in their cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
         at = None
         for part, kind, payload in rows_of(batches, "part", "kind", "payload"):
             if kind == NAMES:
-                yield pa.record_batch([pa.array([x], f.type) for x, f in zip((NAMES, None, None, None, payload), _MET, strict=True)], schema=_MET)
+                yield pa.record_batch([pa.array([x], f.type) for x, f in zip((NAMES, None, None, None, None, payload), _MET, strict=True)], schema=_MET)
                 continue
             if part != at and held:
                 yield from _meeting(held, measure)
@@ -214,7 +230,7 @@ def _met(keys: DataFrame, measure: Measure) -> DataFrame:
         if held:
             yield from _meeting(held, measure)
     return (keys.repartition("part").sortWithinPartitions("part")
-            .mapInArrow(run, "kind int, a long, b long, members long, payload binary"))
+            .mapInArrow(run, "kind int, a long, b long, shared long, need long, payload binary"))
 
 
 def _meeting(held: list[bytes], measure: Measure) -> Iterator[pa.RecordBatch]:
@@ -234,42 +250,63 @@ def _meeting(held: list[bytes], measure: Measure) -> Iterator[pa.RecordBatch]:
     key, owner, size = key[new], owner[new], size[new]
     heads = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
     members = np.diff(heads, append=len(key))
-    firsts, seconds = [], []
+    firsts, seconds, counts = [], [], []
     for m in range(2, LEAF + 1):
         at = heads[members == m]
         for i in range(m):
             for j in range(i + 1, m):
                 firsts.append(at + i)
                 seconds.append(at + j)
-    cells: dict[int, tuple[int, int]] = {}
+                counts.append(np.ones(len(at), np.int64))
+    cells: dict[int, list[int]] = {}
     for head, m in zip(heads[members > LEAF].tolist(), members[members > LEAF].tolist(), strict=True):
         name = int(np.uint64(xxhash.xxh3_64_intdigest(owner[head:head + m].tobytes())).view(np.int64))
-        if name not in cells:
-            cells[name] = (head, m)
-            for step in (1, 2, 3):  # neighbours by size
-                firsts.append(np.arange(head, head + m - step))
-                seconds.append(np.arange(head + step, head + m))
+        cells.setdefault(name, [head, m, 0])[2] += 1
+    for head, m, times in cells.values():
+        for step in (1, 2, 3):  # neighbours by size; other classes may stand between them under another key, so they count double
+            firsts.append(np.arange(head, head + m - step))
+            seconds.append(np.arange(head + step, head + m))
+            counts.append(np.full(m - step, 2 * times))
     if firsts:
-        a, b = np.concatenate(firsts), np.concatenate(seconds)
+        a, b, count = np.concatenate(firsts), np.concatenate(seconds), np.concatenate(counts)
         fit = measure.fit(size[a], size[b])
-        a, b = owner[a[fit]], owner[b[fit]]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        a, b, count = a[fit], b[fit], count[fit]
+        need = measure.shared(size[a], size[b])
+        a, b = owner[a], owner[b]
+        pairs, first, number = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0, return_index=True, return_inverse=True)
         if len(pairs):
-            yield _rows(PAIR, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64))
-    for name, (head, m) in cells.items():
-        yield _rows(CELL, np.full(m, name), owner[head:head + m], np.full(m, m))
+            yield _rows(PAIR, pairs[:, 0], pairs[:, 1], np.bincount(number.ravel(), count).astype(np.int64), need[first])
+    for name, (head, m, _) in cells.items():
+        yield _rows(CELL, np.full(m, name), owner[head:head + m], np.zeros(m, np.int64), np.zeros(m, np.int64))
 
 
-def _rows(kind: int, a: np.ndarray, b: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(members),
+def _rows(kind: int, a: np.ndarray, b: np.ndarray, shared: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(shared), pa.array(need),
                             pa.nulls(len(a), pa.binary())], schema=_MET)
 
 
+def _pairs(met: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share as many keys, over all partitions, as they must; a pair that shares a
+    large key may be missing here, as its cell has it."""
+    return (met.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
+            .filter("shared >= need").select("a", "b"))
+
+
 _SETS = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
 
+def _about(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows whose id is needed, and those whose hash shares a place with such an id."""
+    place = F.pmod(F.xxhash64(F.coalesce("id", F.lit(0))), F.lit(NEEDED_PLACES))
+    marks = (needed.select(place.alias("place")).groupBy(F.expr("place div 64").cast("int").alias("stretch"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, int(place % 64))")).alias("marks")))
+    return (rows.withColumn("place", place).withColumn("stretch", F.expr("place div 64").cast("int"))
+            .join(F.broadcast(marks), "stretch").filter("shiftright(marks, int(place % 64)) & 1 = 1").select(*rows.columns))
+
+
 def _sets(rows: DataFrame, needed: DataFrame, measure: Measure) -> DataFrame:
-    """(class, n, shingles) of the ``needed`` (id, class); texts travel compressed, by id."""
+    """(class, n, shingles) of the ``needed`` (id, class); their texts travel compressed, by id."""
+    needed = stored(needed, "shingle-owners")
     parts = shuffle_partitions(rows.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +346,7 @@ def _sets(rows: DataFrame, needed: DataFrame, measure: Measure) -> DataFrame:
                         yield name, len(found), found.tobytes()
         return pa.Table.from_batches(list(batches_of(out(), _SETS)), _SETS)
 
-    packs = rows.mapInArrow(cut, "part int, kind int, payload binary")
+    packs = _about(rows, needed).mapInArrow(cut, "part int, kind int, payload binary")
     wanted = needed.select(F.coalesce("id", F.lit(0)).alias("id"), "class").withColumn("part", F.pmod("id", F.lit(parts)).cast("int"))
     return packs.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(fetch, "class long, n long, shingles binary")
 
@@ -399,9 +436,9 @@ def traversed(a: Tree, b: Tree, measure: Measure) -> Iterator[tuple[np.ndarray,
             stack.append((level - 1, i[at:at + (1 << 15)], j[at:at + (1 << 15)]))
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Token bitmap of 8 to 16 bits for each shingle, as 64-bit words."""
-    width = 1 << max(6, int(len(shingles) * 8 - 1).bit_length())
+def bitmap(shingles: np.ndarray, each: int = 8) -> np.ndarray:
+    """Token bitmap of ``each`` bits for each shingle, less than twice as many, 64 at least, as 64-bit words."""
+    width = 1 << max(6, int(len(shingles) * each - 1).bit_length())
     places = (shingles & np.uint64(width - 1)).astype(np.int64)
     bits = np.zeros(width // 8, np.uint8)
     np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
@@ -528,7 +565,7 @@ def joined(docs: DataFrame, words: int = 4, least: int = 85, id_col: str = "doc_
     named = _named(met)
     signs = stored(named.filter("n > 0").groupBy("class").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.max("bits").alias("bits")), "shingle-signatures")
-    pairs = stored(_likely(met.filter(F.col("kind") == PAIR).select("a", "b").distinct(), signs, measure), "shingle-pairs")
+    pairs = stored(_likely(_pairs(met), signs, measure), "shingle-pairs")
     sets = stored(_sets(rows, _owners(pairs, signs), measure), "shingle-sets")
     near = stored(_verified(pairs, sets, measure), "shingle-links")
     rest = stored(_connecting(rows, met, signs, components(near), sets, measure), "shingle-links")

@@ -91,6 +91,55 @@ def test_trees_keep_every_pair_that_may_link():
     assert linked and linked <= pairs and len(pairs) < len(own) * (len(own) - 1) // 2
 
 
+def near_copies(size, count):
+    """Texts of as many words: every second one a near copy of the one before, and all with one passage of 24 words."""
+    draw, passage, found = np.random.default_rng(size), [f"p{k}" for k in range(24)], []
+    for n in range(count):
+        if n % 2 == 0:
+            own = [f"w{x}" for x in draw.integers(0, 1 << 40, size)] + passage
+        else:
+            own = [w if draw.random() > 0.012 else f"e{draw.integers(0, 1 << 40)}" for w in own]
+        found.append((1000 * size + n, " ".join(own)))
+    return found
+
+
+def test_jaccard_of_sets_that_must_share_several_keys(spark):
+    rows = [row for size in (5, 70, 200, 900) for row in near_copies(size, 8)]
+    found = by_id(jaccard.joined(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found == components_by_force(rows, 4, 85)
+    assert len({component for _, component in found.values()}) < len(rows)
+
+
+def test_linked_sets_share_the_keys_they_must():
+    draw = np.random.default_rng(5)
+    for least in (1, 50, 80, 85, 100):
+        measure = jaccard.Measure(4, least)
+        for _ in range(300):
+            whole = np.unique(draw.integers(0, 1 << 62, draw.integers(1, 700), dtype=np.uint64))
+            x, y = (whole[draw.random(len(whole)) > draw.random() * 0.2] for _ in "ab")
+            if len(x) and len(y) and len(np.intersect1d(x, y)) and measure.linked(x, y):
+                met = np.intersect1d(x[:measure.prefix(len(x))], y[:measure.prefix(len(y))])
+                assert len(met) >= measure.shared(len(x), len(y))
+
+
+def test_a_shared_line_makes_no_pair_and_signatures_are_small(spark):
+    rows = near_copies(900, 8)
+    measure = jaccard.Measure(4, 85)
+    texts = jaccard.id_text(spark.createDataFrame(rows, "doc_id long, text string"))
+    met = jaccard._met(jaccard._keys(texts, measure, np.empty(0, np.uint64)), measure)
+    assert met.filter(met.kind == jaccard.PAIR).select("a", "b").distinct().count() > 4
+    assert jaccard._pairs(met).count() == 4
+    for shingles, bits in jaccard._named(met).select("n", "bits").collect():
+        assert 8 * len(bits) < 4 * shingles
+
+
+def test_only_needed_texts_travel(spark):
+    rows = spark.createDataFrame([(n, f"text {n}") for n in range(2000)] + [(None, "none")], "id long, text string")
+    needed = spark.createDataFrame([(n, n) for n in (0, 7, 1999)], "id long, class long")
+    found = {row[0] for row in jaccard._about(rows, needed).collect()}
+    assert {None, 0, 7, 1999} <= found and len(found) < 50
+
+
 def removed_by_force(corpus, size):
     seen, found = set(), {}
     for i, t in sorted(corpus):
